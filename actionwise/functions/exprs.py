@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, and_, or_
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,21 +13,9 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(and_, conditions, F.lit(True))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
-
-
-def sum_of(terms: list[Column]) -> Column:
-    return reduce(add, terms)
-
-
-def complete(columns: list[str] | tuple[str, ...]) -> Column:
-    """True when none of the columns is NULL."""
-    return all_of([F.col(c).isNotNull() for c in columns])
+def complete(columns: Iterable[str]) -> str:
+    """SQL condition: none of the columns is NULL."""
+    return " AND ".join(f"{c} IS NOT NULL" for c in columns) or "true"
 
 
 def score_bucket(score: Column, buckets: int) -> Column:

@@ -16,12 +16,12 @@ The steps read their input four times, so it should be a stored table rather tha
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import score_bucket, sum_of
+from ..functions.exprs import score_bucket
 from ..functions.hashing import HASH_RANGE, hash32
 from ..specs import KEY, ActionSpec
 
@@ -90,17 +90,15 @@ def tile_cuts(scores: DataFrame, tiles: int = 10) -> DataFrame:
     return picked.groupBy(_group).agg(F.array_sort(F.collect_list(F.struct("p", "h", KEY))).alias("cuts"))
 
 
-def tile_of(score: Column, h: Column, key: Column, cuts: Column, tiles: int) -> Column:
-    """1 + number of cuts below (score, h, key).
+def tile_of(score: str, cuts: str, tiles: int) -> Column:
+    """1 + number of cuts below (score, hash, key); needs the columns `_h` (hash of the key) and `cuts`.
 
     Only users whose score equals a cut score need the full comparison; all others take the plain one.
     """
-    p = F.coalesce(score.cast("double"), F.lit(NULL_SCORE))
-    cut_scores = cuts["p"]
-    plain = sum_of([F.when(p > F.get(cut_scores, F.lit(i)), F.lit(1)).otherwise(F.lit(0)) for i in range(tiles - 1)])
-    me = F.struct(p.alias("p"), h.alias("h"), key.alias(KEY))
-    exact = F.size(F.filter(cuts, lambda c: c < me))
-    return (F.lit(1) + F.when(F.array_contains(cut_scores, p), exact).otherwise(plain)).cast("int")
+    p = f"coalesce({score}, double('-Infinity'))"
+    plain = " + ".join(f"CASE WHEN {p} > get({cuts}.p, {i}) THEN 1 ELSE 0 END" for i in range(tiles - 1))
+    exact = f"size(filter({cuts}, c -> c < named_struct('p', {p}, 'h', _h, '{KEY}', {KEY})))"
+    return F.expr(f"1 + CASE WHEN array_contains({cuts}.p, {p}) THEN {exact} ELSE {plain} END")
 
 
 def with_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
@@ -126,14 +124,15 @@ def with_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10)
     lookup = (
         tile_cuts(long, tiles).agg(F.map_from_entries(F.collect_list(F.struct(_group, "cuts"))).alias("cuts")).scalar()
     )
-    hashed = df.withColumn("_h", hash32(KEY)).withColumn("_cuts", lookup)
-    none = F.array().cast(f"array<struct<p:double,h:bigint,{KEY}:{dict(df.dtypes)[KEY]}>>")
-    columns = {}
-    for a in actions:
-        cuts = F.coalesce(F.col("_cuts")[a.name], none)
-        tile = tile_of(F.col(a.probability), F.col("_h"), F.col(KEY), cuts, tiles)
-        columns[a.decile] = F.when(F.col(a.scored), tile).otherwise(F.lit(0)).cast("int")
-    return hashed.withColumns(columns).drop("_h", "_cuts")
+    none = f"CAST(array() AS array<struct<p:double,h:bigint,{KEY}:{dict(df.dtypes)[KEY]}>>)"
+    cuts = {f"_cuts_{a.name}": F.expr(f"coalesce(_cuts['{a.name}'], {none})") for a in actions}
+    tile = {a.decile: tile_of(a.probability, f"_cuts_{a.name}", tiles) for a in actions}
+    return (
+        df.withColumns({"_h": hash32(KEY), "_cuts": lookup})
+        .withColumns(cuts)
+        .withColumns({a.decile: F.when(F.col(a.scored), tile[a.decile]).otherwise(0).cast("int") for a in actions})
+        .drop("_h", "_cuts", *cuts)
+    )
 
 
 def score_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10) -> DataFrame:
@@ -145,6 +144,5 @@ def approx_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10, accuracy:
     """Deciles from approximate score quantiles: one pass, equal scores always share a decile."""
     shares = [i / tiles for i in range(1, tiles)]
     edges = df.agg(F.percentile_approx(action.probability, shares, accuracy)).scalar()
-    p = F.col(action.probability)
-    above = sum_of([F.when(p > F.get(F.col("_edges"), F.lit(i)), F.lit(1)).otherwise(F.lit(0)) for i in range(tiles - 1)])
-    return df.withColumn("_edges", edges).withColumn(action.decile, (F.lit(1) + above).cast("int")).drop("_edges")
+    above = " + ".join(f"CASE WHEN {action.probability} > get(_edges, {i}) THEN 1 ELSE 0 END" for i in range(tiles - 1))
+    return df.withColumn("_edges", edges).withColumn(action.decile, F.expr(f"1 + {above}")).drop("_edges")

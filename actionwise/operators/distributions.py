@@ -44,21 +44,10 @@ def profile(df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] =
 
     Quantiles are approximate, within 1 / accuracy of the rank.
     """
-    stats = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        fields = [
-            F.lit(c).alias("column"),
-            F.count(v).alias("n"),
-            F.avg(v).alias("mean"),
-            F.stddev(v).alias("stddev"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-        ]
-        if quantiles:
-            fields.append(F.percentile_approx(v, list(quantiles), accuracy).alias("quantiles"))
-        stats.append(F.struct(*fields))
-    return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
+    more = f", 'quantiles', percentile_approx(v, array({', '.join(map(str, quantiles))}), {accuracy})" if quantiles else ""
+    fields = "'column', '{c}', 'n', count(v), 'mean', avg(v), 'stddev', stddev(v), 'min', min(v), 'max', max(v)" + more
+    stats = [f"named_struct({fields})".replace("{c}", c).replace("(v", f"(double({c})") for c in columns]
+    return df.selectExpr(f"array({', '.join(stats)}) AS stats").select(F.inline("stats"))
 
 
 def summary(df: DataFrame) -> DataFrame:

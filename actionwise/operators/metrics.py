@@ -61,7 +61,10 @@ def _rate(num: Column, den: Column) -> Column:
 
 
 def threshold_curves(df: DataFrame, by: Sequence[str] = (), bins: int | None = None) -> DataFrame:
-    """Precision, recall and F1 when predicting 1 from each distinct score upwards."""
+    """Precision, recall and F1 when predicting 1 from each distinct score upwards.
+
+    Every distinct score is a point; `bins` bounds their number where a plot needs no more.
+    """
     tp, fp, positives = F.col("pos_to"), F.col("neg_to"), F.col("pos_all")
     return _running(df, by, bins).select(
         *by,

@@ -20,9 +20,6 @@ from .cleaning import null_sentinel
 
 Scorer = Callable[[DataFrame, ActionSpec], DataFrame]
 
-# Working columns a pipeline adds besides the scores.
-_MODEL_OUTPUT = ("features", "rawPrediction", "probability", "prediction")
-
 
 def positive_probability(vector: str = "probability") -> Column:
     """Probability of class 1 from an ML vector column, without leaving the JVM."""
@@ -63,7 +60,7 @@ def expression_scorer(probability: Column, threshold: float) -> Scorer:
         return users.withColumns(
             {
                 action.probability: probability.cast("double"),
-                action.prediction: F.when(probability >= threshold, F.lit(1.0)).otherwise(F.lit(0.0)),
+                action.prediction: (probability >= threshold).cast("double"),
             }
         )
 
@@ -89,9 +86,9 @@ def table_scorer(scores: DataFrame) -> Scorer:
     return lambda users, action: table_scores(users, scores, action)
 
 
-def is_scorable(action: ActionSpec) -> Column:
-    """Action not taken yet and every feature of its model present."""
-    return (F.col(action.flag) == 0) & complete(action.features.columns)
+def is_scorable(action: ActionSpec) -> str:
+    """SQL condition: action not taken yet and every feature of its model present."""
+    return f"{action.flag} = 0 AND {complete(action.features.columns)}"
 
 
 def scorable_users(users: DataFrame, action: ActionSpec) -> DataFrame:
@@ -121,16 +118,18 @@ def score_actions(users: DataFrame, actions: Sequence[ActionSpec], scorers: Mapp
     and the boolean `scored`). Predictions of users that may not be scored are 0.
     """
     wide = null_sentinel(users)
-    out: list[Column] = [F.col(KEY), *[F.col(a.flag) for a in actions]]
+    out = [KEY, *(a.flag for a in actions)]
+    marks = {}
     for action in scored_actions(actions):
         wide = scorers[action.name](wide, action)
-        real = F.coalesce(is_scorable(action) & F.col(action.probability).isNotNull(), F.lit(False))
+        # decided once per row and used by both columns below
+        marks[action.scored] = f"coalesce({is_scorable(action)} AND {action.probability} IS NOT NULL, false)"
         out += [
-            F.when(real, F.col(action.probability)).otherwise(F.lit(0.0)).alias(action.probability),
-            F.when(real, F.col(action.prediction)).otherwise(F.lit(0.0)).alias(action.prediction),
-            real.alias(action.scored),
+            f"if({action.scored}, {action.probability}, 0D) AS {action.probability}",
+            f"if({action.scored}, {action.prediction}, 0D) AS {action.prediction}",
+            action.scored,
         ]
-    return wide.select(*out)
+    return wide.selectExpr("*", *[f"{mark} AS {name}" for name, mark in marks.items()]).selectExpr(*out)
 
 
 def binary_decisioning(users: DataFrame, rules: Sequence[ActionSpec]) -> DataFrame:
@@ -143,13 +142,10 @@ def gather_scores(users: DataFrame, long: DataFrame, actions: Sequence[ActionSpe
 
     One aggregation for all actions instead of a join per action; users or actions without a row get zeros.
     """
-    parts = []
-    for a in actions:
-        mine = F.col("action") == a.name
-        parts += [
-            F.max(F.when(mine, F.col("probability"))).alias(a.probability),
-            F.max(F.when(mine, F.col("prediction"))).alias(a.prediction),
-            F.max(F.when(mine, F.col("decile"))).alias(a.decile),
-        ]
+    parts = [
+        F.expr(f"max({value}) FILTER (WHERE action = '{a.name}')").alias(column)
+        for a in actions
+        for value, column in (("probability", a.probability), ("prediction", a.prediction), ("decile", a.decile))
+    ]
     wide = long.groupBy(KEY).agg(*parts)
     return users.select(KEY).join(wide, KEY, "left").fillna(0)

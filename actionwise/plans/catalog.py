@@ -72,12 +72,10 @@ def _evaluation(spark: SparkSession, sf: str) -> DataFrame:
     return users.select(KEY, F.inline(F.array(*rows)))
 
 
-def _recurring_scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """All users, and the scored ones of one action; stored, since deciles read their input several times."""
-    users = stage(star.load_profile(spark, sf), "profile")
-    scorable = scoring.scorable_users(users, RECURRING)
-    scored = star.frozen_scorers()[RECURRING.name](scorable, RECURRING)
-    return users, stage(scored.select(KEY, RECURRING.probability, RECURRING.prediction), "scored")
+def _recurring_scored(users: DataFrame) -> DataFrame:
+    """Scored users of one action; stored, since deciles read their input several times."""
+    scored = star.frozen_scorers()[RECURRING.name](scoring.scorable_users(users, RECURRING), RECURRING)
+    return stage(scored.select(KEY, RECURRING.probability, RECURRING.prediction), "scored")
 
 
 # --- sources ---------------------------------------------------------------------------------------------------------
@@ -330,20 +328,18 @@ def unscored_users(spark, sf):
 
 @query
 def scores_with_defaults(spark, sf):
-    users, scored = _recurring_scored(spark, sf)
-    return scoring.with_defaults(users, deciles.score_deciles(scored, RECURRING), RECURRING)
+    users = star.load_profile(spark, sf)
+    return scoring.with_defaults(users, deciles.score_deciles(_recurring_scored(users), RECURRING), RECURRING)
 
 
 @query
 def score_deciles(spark, sf):
-    _, scored = _recurring_scored(spark, sf)
-    return deciles.score_deciles(scored, RECURRING)
+    return deciles.score_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING)
 
 
 @query
 def approx_deciles(spark, sf):
-    _, scored = _recurring_scored(spark, sf)
-    return deciles.approx_deciles(scored, RECURRING)
+    return deciles.approx_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING)
 
 
 @query

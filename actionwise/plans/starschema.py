@@ -10,10 +10,9 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ratio
 from ..operators.scoring import Scorer, expression_scorer, table_scorer
 from ..specs import ACTIONS as BASE_ACTIONS
 from ..specs import KEY, NULL_SENTINEL, ActionSpec, FeatureSpec
@@ -84,21 +83,21 @@ def user_activity(orders: DataFrame, lineitem: DataFrame, period: Period = Perio
     facts = orders.filter(F.col("o_orderdate") < F.lit(period.as_of)).join(
         items, orders["o_orderkey"] == items["l_orderkey"], "left"
     )
-    past = F.col("o_orderdate") < F.lit(period.cutoff)
-    aggregates: list[Column] = [
-        F.count_if(past).alias("n_orders"),
-        F.round(F.sum(F.when(past, F.col("o_totalprice"))), 2).alias("amt_sum"),
-        F.min(F.when(past, F.col("o_orderdate"))).alias("first_at"),
-        F.max(F.when(past, F.col("o_orderdate"))).alias("last_at"),
-        F.sum(F.when(past, F.col("items"))).alias("n_items"),
-        F.sum(F.when(past, F.col("returned"))).alias("n_returned"),
-        F.sum(F.when(~past, F.col("returned"))).alias("w_returned"),
-        F.count_if(~past & (F.col("o_orderstatus") == "P")).alias("w_status_p"),
-    ]
+    past, recent = (f"o_orderdate {op} DATE'{period.cutoff}'" for op in ("<", ">="))
+    aggregates = {
+        "n_orders": f"count_if({past})",
+        "amt_sum": f"round(sum(o_totalprice) FILTER (WHERE {past}), 2)",
+        "first_at": f"min(o_orderdate) FILTER (WHERE {past})",
+        "last_at": f"max(o_orderdate) FILTER (WHERE {past})",
+        "n_items": f"sum(items) FILTER (WHERE {past})",
+        "n_returned": f"sum(returned) FILTER (WHERE {past})",
+        "w_returned": f"sum(returned) FILTER (WHERE {recent})",
+        "w_status_p": f"count_if({recent} AND o_orderstatus = 'P')",
+    }
     for priority, short in PRIORITIES.values():
-        hit = F.col("o_orderpriority") == priority
-        aggregates += [F.count_if(past & hit).alias(f"n_{short}"), F.count_if(~past & hit).alias(f"w_{short}")]
-    return facts.groupBy(F.col("o_custkey").alias(KEY)).agg(*aggregates)
+        aggregates[f"n_{short}"] = f"count_if({past} AND o_orderpriority = '{priority}')"
+        aggregates[f"w_{short}"] = f"count_if({recent} AND o_orderpriority = '{priority}')"
+    return facts.groupBy(F.col("o_custkey").alias(KEY)).agg(*[F.expr(e).alias(c) for c, e in aggregates.items()])
 
 
 def user_profile(customer: DataFrame, orders: DataFrame, lineitem: DataFrame, period: Period = Period()) -> DataFrame:
@@ -110,26 +109,25 @@ def user_profile(customer: DataFrame, orders: DataFrame, lineitem: DataFrame, pe
         F.col("c_custkey").alias(KEY), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("acctbal")
     )
     wide = accounts.join(user_activity(orders, lineitem, period), KEY, "left").fillna(0, subset=COUNTS)
-    cutoff = F.lit(period.cutoff)
-    features = [
-        "segment",
-        "acctbal",
-        "n_orders",
-        F.coalesce("amt_sum", F.lit(0.0)).alias("amt_sum"),
-        ratio(F.col("amt_sum"), F.col("n_orders")).alias("amt_avg"),
-        F.datediff(cutoff, F.to_date("last_at")).cast("bigint").alias("recency_days"),
-        F.datediff(cutoff, F.to_date("first_at")).cast("bigint").alias("tenure_days"),
-        *[ratio(F.col(f"n_{s}"), F.col("n_orders")).alias(f"share_{s}") for _, s in PRIORITIES.values()],
-        ratio(F.col("n_returned"), F.col("n_items")).alias("return_share"),
-    ]
-    taken = {BY_NAME[name].flag: F.col(f"w_{short}") > 0 for name, (_, short) in PRIORITIES.items()}
-    taken |= {
-        BY_NAME["transport_action"].flag: F.col("w_returned") > 0,
-        BY_NAME["business_requirement_1"].flag: F.col("acctbal") >= 0,
-        BY_NAME["business_requirement_2"].flag: F.col("w_status_p") > 0,
+    cutoff = f"DATE'{period.cutoff}'"
+    features = {
+        "segment": "segment",
+        "acctbal": "acctbal",
+        "n_orders": "n_orders",
+        "amt_sum": "coalesce(amt_sum, 0D)",
+        "amt_avg": "try_divide(amt_sum, n_orders)",
+        "recency_days": f"bigint(datediff({cutoff}, date(last_at)))",
+        "tenure_days": f"bigint(datediff({cutoff}, date(first_at)))",
+        **{f"share_{s}": f"try_divide(double(n_{s}), n_orders)" for _, s in PRIORITIES.values()},
+        "return_share": "try_divide(double(n_returned), n_items)",
+    }
+    taken = {name: f"w_{short} > 0" for name, (_, short) in PRIORITIES.items()} | {
+        "transport_action": "w_returned > 0",
+        "business_requirement_1": "acctbal >= 0",
+        "business_requirement_2": "w_status_p > 0",
     }
-    flags = [F.coalesce(taken[a.flag].cast("int"), F.lit(0)).alias(a.flag) for a in ACTIONS]
-    return wide.select(KEY, *features, *flags)
+    flags = {a.flag: f"int(coalesce({taken[a.name]}, false))" for a in ACTIONS}
+    return wide.selectExpr(KEY, *[f"{e} AS {c}" for c, e in (features | flags).items()])
 
 
 FEATURE_COLUMNS = [

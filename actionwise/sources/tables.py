@@ -32,8 +32,9 @@ def write_snapshot(df: DataFrame, table: str, as_of: date | None = None) -> None
 
 
 def survivability_table(spark: SparkSession, modifiers: dict[str, float] = MODIFIERS) -> DataFrame:
-    """(action, modifier), one row per action."""
-    return spark.createDataFrame(list(modifiers.items()), "action string, modifier double")
+    """(action, modifier), one row per action: a literal relation, known in full to the optimizer."""
+    rows = ", ".join(f"('{action}', {modifier!r}D)" for action, modifier in modifiers.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(action, modifier)")
 
 
 def staging_dir(spark: SparkSession) -> str:
