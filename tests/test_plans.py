@@ -1,0 +1,164 @@
+"""Properties of the physical plans, and results on skewed facts."""
+
+from __future__ import annotations
+
+import re
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from actionwise.operators import deciles, ranking, scoring
+from actionwise.operators.population import negative_class
+from actionwise.plans import starschema
+from actionwise.plans.catalog import all_queries
+from actionwise.sources.tables import scan, stage
+from actionwise.specs import ACTIONS
+
+BASE = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not Path(BASE).exists(), reason="test tables not available")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def shuffle_joins(spark):
+    """Plan as for large tables: nothing is small enough to broadcast unless asked for."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@needs_tables
+def test_ranking_adds_no_shuffle(spark, shuffle_joins):
+    users = starschema.load_profile(spark, BASE)
+    ranks = ranking.rank_actions(scoring.score_actions(users, ACTIONS_WITH_FEATURES, starschema.frozen_scorers()), ACTIONS_WITH_FEATURES)
+    assert plan_of(ranks).count("Exchange") == plan_of(users).count("Exchange")
+    assert "Window" not in plan_of(ranks)
+
+
+ACTIONS_WITH_FEATURES = starschema.ACTIONS
+
+
+@needs_tables
+def test_long_ranking_reuses_the_partitioning_of_the_user_key(spark, shuffle_joins):
+    users = starschema.load_profile(spark, BASE)
+    scores = scoring.score_actions(users, ACTIONS_WITH_FEATURES, starschema.frozen_scorers())
+    long = ranking.action_ranks(ranking.unpivot_scores(ranking.action_scores(scores, ACTIONS_WITH_FEATURES)))
+    wide = ranking.pivot_ranks(long, ACTIONS_WITH_FEATURES)
+    assert plan_of(wide).count("Exchange") == plan_of(users).count("Exchange")
+
+
+@needs_tables
+def test_flags_of_orders_do_not_read_lineitem(spark):
+    customer, orders, lineitem = (scan(spark, BASE, t) for t in ("customer", "orders", "lineitem"))
+    profile = starschema.user_profile(customer, orders, lineitem)
+    assert "l_orderkey" not in plan_of(profile.select("id", "recurring_action_binary", "n_orders"))
+    assert "l_orderkey" in plan_of(profile.select("id", "return_share"))
+
+
+@needs_tables
+def test_scans_read_needed_columns_and_push_filters(spark):
+    plan = plan_of(all_queries()["window_targets"](spark, BASE))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate.*LessThan\(o_orderdate", plan)
+    assert "o_totalprice" not in plan and "c_acctbal" not in plan
+
+
+@needs_tables
+def test_class_filter_reaches_a_stored_table(spark):
+    stored = stage(starschema.load_profile(spark, BASE), "profile")
+    assert "EqualTo(recurring_action_binary,0)" in plan_of(negative_class(stored, "recurring_action_binary"))
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["user_level_ranks", "user_level_scores", "user_features", "roc_curve", "downsample_negative"])
+def test_no_python_in_the_plan(spark, name):
+    plan = plan_of(all_queries()[name](spark, BASE))
+    assert not re.search(r"Python|ArrowEval|MapInPandas|CartesianProduct", plan)
+
+
+def test_deciles_keep_the_table_in_place(spark):
+    """No exchange above the scan of the scored users; only cut finding aggregates, inside a subquery."""
+    action = ACTIONS[2]
+    df = stage(spark.range(1000).select("id", (F.rand(1)).alias(action.probability)), "scores")
+    plan = plan_of(deciles.score_deciles(df, action))
+    main = re.sub(r"Subquery subquery.*?(?=\n\S|\Z)", "", plan, flags=re.S)
+    outer = [line for line in plan.splitlines() if "Subquery" not in line and not re.match(r"^\s*:", line)]
+    assert main and not any("Exchange" in line or "Window" in line for line in outer if re.match(r"^\s*\+-", line))
+    assert "PartitionSpec" not in plan and "Window [ntile" not in plan
+
+
+def _facts(spark):
+    """A third of all orders belong to one customer, a third of all items to one order."""
+    start = datetime(1999, 1, 1)
+    orders = [
+        (k, 1 if k % 3 == 0 else k % 40, "PFO"[k % 3], float(k), start + timedelta(days=k % 900), list(PRIORITY)[k % 5])
+        for k in range(900)
+    ]
+    items = [(7 if k % 3 == 0 else k % 900, "RNA"[k % 3 - 1 if k % 2 else k % 3]) for k in range(6000)]
+    customer = [(i, float(i - 5), ["BUILDING", "FURNITURE"][i % 2]) for i in range(45)]
+    return (
+        spark.createDataFrame(customer, "c_custkey long, c_acctbal double, c_mktsegment string"),
+        spark.createDataFrame(
+            orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+        ),
+        spark.createDataFrame(items, "l_orderkey long, l_returnflag string"),
+        customer, orders, items,
+    )
+
+
+PRIORITY = {p: s for p, s in starschema.PRIORITIES.values()}
+
+
+def test_profile_against_brute_force_on_skewed_facts(spark):
+    customer_df, orders_df, items_df, customer, orders, items = _facts(spark)
+    got = {r["id"]: r for r in starschema.user_profile(customer_df, orders_df, items_df).collect()}
+    cutoff, as_of = datetime(2001, 1, 1), datetime(2001, 7, 1)
+    by_order = {}
+    for key, flag in items:
+        n, r = by_order.get(key, (0, 0))
+        by_order[key] = (n + 1, r + (flag == "R"))
+    assert set(got) == {c[0] for c in customer}
+    for cid, balance, _ in customer:
+        mine = [o for o in orders if o[1] == cid and o[4] < as_of]
+        past, recent = [o for o in mine if o[4] < cutoff], [o for o in mine if o[4] >= cutoff]
+        row = got[cid]
+        assert row["n_orders"] == len(past)
+        assert row["amt_sum"] == pytest.approx(sum(o[3] for o in past))
+        n, r = (sum(by_order.get(o[0], (0, 0))[i] for o in past) for i in (0, 1))
+        assert row["return_share"] == (pytest.approx(r / n) if n else None)
+        if past:
+            assert row["recency_days"] == (cutoff - max(o[4] for o in past)).days
+            assert row["tenure_days"] == (cutoff - min(o[4] for o in past)).days
+        else:
+            assert row["amt_avg"] is None and row["recency_days"] is None and row["share_low"] is None
+        for action, (priority, short) in starschema.PRIORITIES.items():
+            assert row[f"{action}_binary"] == int(any(o[5] == priority for o in recent))
+            if past:
+                assert row[f"share_{short}"] == pytest.approx(sum(o[5] == priority for o in past) / len(past))
+        assert row["transport_action_binary"] == int(sum(by_order.get(o[0], (0, 0))[1] for o in recent) > 0)
+        assert row["business_requirement_1_binary"] == int(balance >= 0)
+        assert row["business_requirement_2_binary"] == int(any(o[2] == "P" for o in recent))
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    from actionwise.sources.tables import staging_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_dir(Session())
