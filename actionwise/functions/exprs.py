@@ -18,7 +18,22 @@ def complete(columns: Iterable[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in columns) or "true"
 
 
-def score_bucket(score: Column, buckets: int) -> Column:
-    """Bucket number in [0, buckets), monotone in the score; scores are clipped to [0, 1], NULL goes first."""
-    clipped = F.greatest(F.least(F.coalesce(score, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
-    return F.least(F.floor(clipped * F.lit(float(buckets))), F.lit(buckets - 1)).cast("int")
+OCTAVES = 40   # scores below 2^-40 share a bucket
+STEPS = 1024   # buckets per octave
+
+
+def clipped(score: Column) -> Column:
+    """Score limited to [0, 1]; NULL counts as 0, NaN as 1."""
+    return F.greatest(F.least(F.coalesce(score, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+
+
+def score_bucket(score: Column, steps: int = STEPS) -> Column:
+    """Bucket number, monotone in the score and below OCTAVES x steps + 2.
+
+    Buckets have equal relative width, so the small scores of rare actions spread over many buckets too.
+    """
+    p = clipped(score)
+    octave = F.greatest(F.floor(F.log2(p)), F.lit(-OCTAVES))
+    step = F.floor((p * F.pow(F.lit(2.0), -octave) - 1) * steps)
+    inside = 1 + (octave + OCTAVES) * steps + F.greatest(F.least(step, F.lit(steps - 1)), F.lit(0))
+    return F.when(p <= 0, 0).when(p >= 1, OCTAVES * steps + 1).otherwise(inside).cast("int")

@@ -7,22 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import score_bucket
-
-BUCKETS = 4096
+from ..functions.exprs import STEPS, score_bucket
 
 
 def running_totals(
-    points: DataFrame, measures: Sequence[str], by: Sequence[str] = (), score: str = "score", buckets: int = BUCKETS
+    points: DataFrame, measures: Sequence[str], by: Sequence[str] = (), score: str = "score", steps: int = STEPS
 ) -> DataFrame:
     """Add `<m>_to` (sum over rows with this score or a higher one) and `<m>_all` (sum over the group).
 
-    points: one row per (by, score). Rows are cut into score buckets; the sums of whole buckets form a small table (at
-    most `buckets` rows per group, broadcast) that gives each bucket its starting point, and the ordered window only
+    points: one row per (by, score). Rows are cut into score buckets; the sums of whole buckets form a small table (a
+    bounded number of rows per group, broadcast) that gives each bucket its starting point, and the ordered window only
     runs inside a bucket.
     """
     order = F.coalesce(F.col(score), F.lit(float("-inf")))
-    cut = points.withColumn("_bucket", score_bucket(F.col(score), buckets))
+    cut = points.withColumn("_bucket", score_bucket(F.col(score), steps))
     group = Window.partitionBy(*by)
     above = group.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = cut.groupBy(*by, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])

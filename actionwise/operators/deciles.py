@@ -1,17 +1,17 @@
 """Exact score deciles without sorting or shuffling the scored users.
 
 A decile is decided by at most nine cut rows: the last user of each tile in the order (score, hash of the key, key).
-The cuts are found by narrowing down, each step being a filter plus an aggregation with map-side combine:
+The cuts are found by narrowing down. Each step counts users with map-side combine, and keeps the places that hold a cut:
 
-1. count users per score bucket and find the buckets that hold a cut (a bounded histogram);
-2. inside those buckets count per exact score and hash range, so that users with one and the same score, however
-   many, are spread over the ranges;
-3. number the users of the few cells that hold a cut and keep the cut rows.
+1. buckets of the score, a histogram of bounded size;
+2. equal parts of the score range found in such a bucket, so that scores crowded into a narrow range spread out;
+3. exact score and hash range inside such a part, so that users with one and the same score, however many, spread out;
+4. the users of such a cell, numbered, give the cut rows.
 
 Every user then gets 1 + the number of cuts below, a narrow expression: the scored table keeps its partitioning.
 The result equals ``ntile(tiles) OVER (ORDER BY score NULLS FIRST, hash, key)``.
 
-The steps read their input four times, so it should be a stored table rather than a long computation.
+The steps read their input again each time, so it should be a stored table rather than a long computation.
 """
 
 from __future__ import annotations
@@ -21,73 +21,71 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import score_bucket
+from ..functions.exprs import clipped, score_bucket
 from ..functions.hashing import HASH_RANGE, hash32
 from ..specs import KEY, ActionSpec
 
-BUCKETS = 16384      # score buckets of the first histogram
+PARTS = 16384        # equal parts a bucket is cut into
 HASH_RANGES = 4096   # hash ranges that split users with the same score
 NULL_SCORE = float("-inf")
 
 _group = "action"
 
 
-def _running(counts: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add `before`: number of users ahead of each count row inside its group."""
-    window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _before(counts: DataFrame, group: Sequence[str], place: Sequence[str]) -> DataFrame:
+    """Add the number of users ahead of each counted place inside its group."""
+    window = Window.partitionBy(*group).orderBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return counts.withColumn("before", F.sum("n").over(window) - F.col("n"))
 
 
-def tile_cuts(scores: DataFrame, tiles: int = 10) -> DataFrame:
-    """Cut rows per action.
+def _holding(places: DataFrame, needs: str) -> DataFrame:
+    """Keep the places that hold wanted positions; `needs` becomes their positions inside the place."""
+    inside = f"filter(transform({needs}, x -> x - before), x -> x BETWEEN 1 AND n)"
+    return places.withColumn("needs", F.expr(inside)).filter(F.size("needs") > 0).drop("before", "n")
+
+
+def _locate(rows: DataFrame, wanted: DataFrame, group: Sequence[str], place: Sequence[str]) -> DataFrame:
+    """Count users per place and find the places that hold the wanted positions (group..., needs)."""
+    counts = rows.groupBy(*group, *place).agg(F.count(F.lit(1)).alias("n"))
+    return _holding(_before(counts, group, place).join(F.broadcast(wanted), list(group)), "needs")
+
+
+def tile_cuts(scores: DataFrame, actions: Sequence[str], tiles: int = 10) -> DataFrame:
+    """Cut rows: one row with a column per action, an ascending array of at most tiles - 1 structs (p, h, id).
 
     scores: (action, id, p), one row per scored user and action.
-    Returns one row per action: `cuts`, an array of at most tiles - 1 structs (p, h, id) in ascending order.
-    The number of actions is small, so all broadcasts below are bounded by actions x (tiles - 1) rows.
+    The places with a cut number at most actions x (tiles - 1), which bounds every broadcast below.
     """
     rows = scores.select(
-        _group,
-        F.col(KEY),
-        F.coalesce(F.col("p").cast("double"), F.lit(NULL_SCORE)).alias("p"),
-    ).withColumn("bucket", score_bucket(F.col("p"), BUCKETS))
-
-    # Step 1: at most BUCKETS rows per action.
-    counts = rows.groupBy(_group, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(_group))
-    running = _running(counts.withColumn("total", total), [_group], ["bucket"])
-    size, rest = F.expr(f"total div {tiles}"), F.expr(f"total % {tiles}")
-    coarse = (
-        running.withColumn("tile", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))))
-        .withColumn("need", F.col("tile") * size + F.least(F.col("tile"), rest) - F.col("before"))
-        .filter((F.col("need") >= 1) & (F.col("need") <= F.col("n")))
-        .select(_group, "bucket", "tile", "need")
+        _group, KEY, F.coalesce(F.col("p").cast("double"), F.lit(NULL_SCORE)).alias("p")
+    ).withColumns({"bucket": score_bucket(F.col("p")), "c": clipped(F.col("p"))})
+
+    bucket = [_group, "bucket"]
+    counts = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
+    counted = _before(counts.withColumn("total", F.sum("n").over(Window.partitionBy(_group))), [_group], ["bucket"])
+    ends = f"transform(sequence(1, {tiles - 1}), k -> k * (total div {tiles}) + least(k, total % {tiles}))"
+    in_bucket = _holding(counted, f"array_distinct({ends})").drop("total")
+
+    part = [*bucket, "part"]
+    share = F.try_divide(F.col("c") - F.col("low"), F.col("high") - F.col("low"))
+    near = rows.join(F.broadcast(in_bucket.drop("needs")), bucket).withColumn(
+        "part", F.coalesce(F.floor(share * PARTS), F.lit(0))
     )
+    in_part = _locate(near, in_bucket.select(*bucket, "needs"), bucket, ["part"])
 
-    # Step 2: exact scores and hash ranges inside the buckets that hold a cut.
-    cell = [_group, "bucket", "p", "hash_range"]
-    near = rows.join(F.broadcast(coarse.select(_group, "bucket").distinct()), [_group, "bucket"], "left_semi")
-    near = near.withColumn("h", hash32(KEY)).withColumn(
-        "hash_range", F.expr(f"h div {HASH_RANGE // HASH_RANGES}")
-    )
-    cells = _running(
-        near.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")), [_group, "bucket"], ["p", "hash_range"]
-    )
-    fine = (
-        cells.join(F.broadcast(coarse), [_group, "bucket"])
-        .withColumn("need", F.col("need") - F.col("before"))
-        .filter((F.col("need") >= 1) & (F.col("need") <= F.col("n")))
-        .select(*cell, "need")
-        .distinct()
-    )
+    # coalesce: the hash is never NULL, and saying so keeps it from being computed for a null filter on all users
+    cell = [*part, "p", "hash_range"]
+    nearer = near.join(F.broadcast(in_part.select(*part)), part, "left_semi")
+    nearer = nearer.withColumn("h", F.coalesce(hash32(KEY), F.lit(0)))
+    nearer = nearer.withColumn("hash_range", F.expr(f"coalesce(h div {HASH_RANGE // HASH_RANGES}, 0)"))
+    in_cell = _locate(nearer, in_part, part, ["p", "hash_range"])
 
-    # Step 3: the cut rows themselves.
-    place = Window.partitionBy(*cell).orderBy("h", KEY)
-    picked = (
-        near.join(F.broadcast(fine.select(*cell).distinct()), cell, "left_semi")
-        .withColumn("need", F.row_number().over(place).cast("bigint"))
-        .join(F.broadcast(fine), [*cell, "need"], "left_semi")
-    )
-    return picked.groupBy(_group).agg(F.array_sort(F.collect_list(F.struct("p", "h", KEY))).alias("cuts"))
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy("h", KEY)).cast("bigint")
+    numbered = nearer.join(F.broadcast(in_cell), cell).withColumn("place", place)
+    cuts = [
+        F.expr(f"array_sort(collect_list(struct(p, h, {KEY})) FILTER (WHERE {_group} = '{a}'))").alias(a) for a in actions
+    ]
+    return numbered.filter(F.array_contains("needs", F.col("place"))).agg(*cuts)
 
 
 def tile_of(score: str, cuts: str, tiles: int) -> Column:
@@ -121,17 +119,14 @@ def with_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10)
             )
         ),
     ).filter("scored")
-    lookup = (
-        tile_cuts(long, tiles).agg(F.map_from_entries(F.collect_list(F.struct(_group, "cuts"))).alias("cuts")).scalar()
-    )
-    none = f"CAST(array() AS array<struct<p:double,h:bigint,{KEY}:{dict(df.dtypes)[KEY]}>>)"
-    cuts = {f"_cuts_{a.name}": F.expr(f"coalesce(_cuts['{a.name}'], {none})") for a in actions}
+    names = [a.name for a in actions]
+    lookup = tile_cuts(long, names, tiles).select(F.struct(*names)).scalar()
     tile = {a.decile: tile_of(a.probability, f"_cuts_{a.name}", tiles) for a in actions}
     return (
         df.withColumns({"_h": hash32(KEY), "_cuts": lookup})
-        .withColumns(cuts)
+        .withColumns({f"_cuts_{name}": F.col("_cuts")[name] for name in names})
         .withColumns({a.decile: F.when(F.col(a.scored), tile[a.decile]).otherwise(0).cast("int") for a in actions})
-        .drop("_h", "_cuts", *cuts)
+        .drop("_h", "_cuts", *[f"_cuts_{name}" for name in names])
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -102,23 +100,18 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Feat
     )
 
 
-@dataclass(frozen=True)
-class PermutationSettings:
-    groups: int = 64   # rows are shuffled inside this many hash groups; raise it with the size of the test set
-    seed: int = 7
-
-
 def permutation_importance(
-    model: PipelineModel, test: DataFrame, features: FeatureSpec, settings: PermutationSettings = PermutationSettings()
+    model: PipelineModel, test: DataFrame, features: FeatureSpec, groups: int | None = None, seed: int = 7
 ) -> DataFrame:
     """(feature, auc, auc_drop): how much AUC falls when one feature is shuffled among the users.
 
     Users fall into hash groups and are put in hash order there; a feature is shuffled by giving each user the value of
-    the next one in that order (the last gets the first). The groups are random subsets of bounded share, so no task
-    sees all rows. All features are scored in one pass over rows tagged with the feature that was shuffled.
+    the next one in that order (the last gets the first). The groups are random subsets, as many as there are shuffle
+    partitions unless given, so no task sees all rows. All features are scored in one pass over rows tagged with the
+    feature that was shuffled.
     """
-    seed = settings.seed
-    group = F.pmod(hash32(KEY, seed), F.lit(settings.groups))
+    groups = groups or int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = F.pmod(hash32(KEY, seed), F.lit(groups))
     tagged = test.withColumns({"_group": group, "_order": hash32(KEY, seed + 1)})
     order = Window.partitionBy("_group").orderBy("_order", KEY)
     last = F.lead(F.lit(1)).over(order).isNull()

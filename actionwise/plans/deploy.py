@@ -52,6 +52,7 @@ def deploy(
     codes: Mapping[str, str] | None = None,
     modifiers: DataFrame | None = None,
     as_of: date | None = None,
+    buckets: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Score users, write `user_level_scores` and `user_level_ranks`, and return both tables.
 
@@ -59,6 +60,6 @@ def deploy(
     """
     stored = coded_actions(actions, codes or {})
     scores = stage(score_actions(vendor_rename(users, codes or {}), stored, scorers), "scores")
-    write_snapshot(user_level_scores(scores, stored), f"{database}.user_level_scores", as_of)
-    write_snapshot(rank_actions(scores, stored, modifiers), f"{database}.user_level_ranks", as_of)
+    write_snapshot(user_level_scores(scores, stored), f"{database}.user_level_scores", as_of, buckets)
+    write_snapshot(rank_actions(scores, stored, modifiers), f"{database}.user_level_ranks", as_of, buckets)
     return spark.table(f"{database}.user_level_scores"), spark.table(f"{database}.user_level_ranks")

@@ -100,11 +100,21 @@ def user_activity(orders: DataFrame, lineitem: DataFrame, period: Period = Perio
     return facts.groupBy(F.col("o_custkey").alias(KEY)).agg(*[F.expr(e).alias(c) for c, e in aggregates.items()])
 
 
-def user_profile(customer: DataFrame, orders: DataFrame, lineitem: DataFrame, period: Period = Period()) -> DataFrame:
+def user_profile(
+    customer: DataFrame,
+    orders: DataFrame,
+    lineitem: DataFrame,
+    period: Period = Period(),
+    eligible: DataFrame | None = None,
+) -> DataFrame:
     """All features and flags, one row per customer.
 
-    Users without history have zero counts and NULL averages, shares and ages.
+    Users without history have zero counts and NULL averages, shares and ages. With `eligible` (a frame with the user
+    key) only those users are kept, and their orders are picked before anything is aggregated.
     """
+    if eligible is not None:
+        customer = customer.join(eligible.select(F.col(KEY).alias("c_custkey")), "c_custkey", "left_semi")
+        orders = orders.join(eligible.select(F.col(KEY).alias("o_custkey")), "o_custkey", "left_semi")
     accounts = customer.select(
         F.col("c_custkey").alias(KEY), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("acctbal")
     )

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..specs import MODIFIERS
+from ..specs import KEY, MODIFIERS
 
 
 def scan(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -26,9 +26,15 @@ def with_snapshot(df: DataFrame, as_of: date | None = None) -> DataFrame:
     return df.withColumn("snapshot_date", F.lit(as_of) if as_of else F.current_date())
 
 
-def write_snapshot(df: DataFrame, table: str, as_of: date | None = None) -> None:
-    """Replace a catalog table, schema included, by a dated snapshot."""
-    with_snapshot(df, as_of).write.mode("overwrite").format("parquet").saveAsTable(table)
+def write_snapshot(df: DataFrame, table: str, as_of: date | None = None, buckets: int = 0, key: str = KEY) -> None:
+    """Replace a catalog table, schema included, by a dated snapshot.
+
+    With `buckets` the table is bucketed by its key, so that later joins of such tables on the key need no shuffle.
+    """
+    writer = with_snapshot(df, as_of).write.mode("overwrite").format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets, key)
+    writer.saveAsTable(table)
 
 
 def survivability_table(spark: SparkSession, modifiers: dict[str, float] = MODIFIERS) -> DataFrame:
@@ -50,7 +56,10 @@ def staging_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate once as parquet and read it back: cuts the lineage, survives lost executors."""
+    """Write an intermediate once as parquet and read it back: cuts the lineage, survives lost executors.
+
+    As with checkpoints, the owner of the folder decides when old files go.
+    """
     path = f"{staging_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,9 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from actionwise.functions.hashing import hash32
 from actionwise.operators import deciles
-from actionwise.specs import ACTIONS, scored_actions
+from actionwise.specs import ACTIONS, ActionSpec, scored_actions
 
 ACTION = ACTIONS[2]
 P, D = ACTION.probability, ACTION.decile
@@ -39,6 +39,8 @@ SHAPES = {
     "hot value": lambda rng: third_is_hot(rng, 5000),
     "narrow range": lambda rng: [0.01 + rng.random() * 1e-9 for _ in range(3000)],
     "hot value in a narrow range": lambda rng: [0.01 + x * 1e-10 for x in third_is_hot(rng, 3000)],
+    "rare action": lambda rng: [rng.random() ** 12 * 1e-3 for _ in range(3000)],
+    "crowded beside an outlier": lambda rng: [0.5 + rng.random() * 1e-12 for _ in range(2000)] + [0.50009],
     "nulls": lambda rng: [None if rng.random() < 0.4 else rng.random() for _ in range(2000)],
     "ends": lambda rng: [rng.choice([0.0, 1.0, 0.0, -0.5, 1.5]) for _ in range(500)],
     "nan": lambda rng: [rng.choice([0.3, float("nan"), 0.9]) for _ in range(200)],
@@ -48,12 +50,26 @@ SHAPES = {
 }
 
 
-@pytest.mark.parametrize("shape", list(SHAPES))
-def test_equals_ntile(spark, shape):
-    assert mismatches(frame(spark, SHAPES[shape](random.Random(5)))) == 0
+def test_every_shape_equals_ntile(spark):
+    """All shapes side by side, each as an action of its own on as many users as it has scores."""
+    columns = {ActionSpec(name.replace(" ", "_")): make(random.Random(5)) for name, make in SHAPES.items()}
+    actions = list(columns)
+    size = max(map(len, columns.values()))
+    rows = [
+        (i, *[v for scores in columns.values() for v in ((scores[i], True) if i < len(scores) else (None, False))])
+        for i in range(size)
+    ]
+    schema = ", ".join(["id long", *[f"{a.probability} double, {a.scored} boolean" for a in actions]])
+    got = deciles.with_deciles(spark.createDataFrame(rows, schema), actions)
+    for a in actions:  # unscored users sort apart, so they do not touch the tiles of the scored ones
+        order = Window.partitionBy(a.scored).orderBy(F.col(a.probability).asc_nulls_first(), hash32("id"), "id")
+        want = F.when(F.col(a.scored), F.ntile(10).over(order)).otherwise(0)
+        got = got.withColumn(f"bad_{a.name}", (want != F.col(a.decile)).cast("int"))
+    bad = got.agg(*[F.sum(f"bad_{a.name}").alias(a.name) for a in actions]).first().asDict()
+    assert {k: v for k, v in bad.items() if v} == {}
 
 
-@pytest.mark.parametrize("tiles", [2, 4, 100])
+@pytest.mark.parametrize("tiles", [4, 100])
 def test_other_tile_counts(spark, tiles):
     assert mismatches(frame(spark, third_is_hot(random.Random(1), 1000)), tiles) == 0
 
@@ -64,7 +80,7 @@ def test_tile_sizes_of_23(spark):
     assert sizes == [3, 3, 3, 2, 2, 2, 2, 2, 2, 2]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(st.none(), st.floats(0, 1), st.sampled_from([0.0, 0.5, 1.0])), min_size=1, max_size=60))
 def test_any_scores(spark, scores):
     assert mismatches(frame(spark, scores)) == 0
@@ -76,8 +92,8 @@ def test_empty_input(spark):
 
 def test_same_for_any_partitioning(spark):
     df = frame(spark, third_is_hot(random.Random(2), 2000))
-    results = [sorted(deciles.score_deciles(df.repartition(n), ACTION).select("id", D).collect()) for n in (1, 4, 8)]
-    assert results[0] == results[1] == results[2]
+    results = [sorted(deciles.score_deciles(df.repartition(n), ACTION).select("id", D).collect()) for n in (1, 8)]
+    assert results[0] == results[1]
 
 
 def test_text_keys(spark):
@@ -85,23 +101,6 @@ def test_text_keys(spark):
     assert mismatches(df) == 0
 
 
-def test_many_actions_share_the_passes(spark):
-    rng = random.Random(4)
-    actions = scored_actions(ACTIONS)
-    rows = [
-        (i, *[v for _ in actions for v in (rng.choice([0.2, rng.random()]), rng.random() < 0.7)]) for i in range(1500)
-    ]
-    schema = ", ".join(["id long", *[f"{a.probability} double, {a.scored} boolean" for a in actions]])
-    df = spark.createDataFrame(rows, schema)
-    got = deciles.with_deciles(df, actions)
-    for a in actions:
-        order = Window.orderBy(a.probability, hash32("id"), "id")
-        want = df.filter(a.scored).select("id", F.ntile(10).over(order).alias("want"))
-        both = got.select("id", a.scored, a.decile).join(want, "id", "left")
-        assert both.filter(F.coalesce("want", F.lit(0)) != F.col(a.decile)).count() == 0
-        assert both.filter(~F.col(a.scored) & (F.col(a.decile) != 0)).count() == 0
-
-
 def test_action_without_scored_users(spark):
     a, b = scored_actions(ACTIONS)[:2]
     df = spark.range(20).select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from actionwise.operators import scoring, training
 from actionwise.operators.deciles import score_deciles
+from actionwise.operators.population import train_test_split, training_union
 from actionwise.operators.ranking import rank_scored_users
 from actionwise.operators.transformers import MetadataDropper
 from actionwise.plans import deploy, starschema, targets, train
@@ -60,11 +61,9 @@ def test_training_result(spark, trained):
     result = trained["recurring_action"]
     assert 0 <= result.auc.first()["auc"] <= 1
     p = result.performance.first()
-    assert p["tp"] + p["fp"] + p["tn"] + p["fn"] == result.roc.sparkSession.table(
-        targets.table_name(DB, RECURRING, "positive_class")
-    ).unionByName(spark.table(targets.table_name(DB, RECURRING, "negative_class"))).transform(
-        lambda df: train.train_test_split(df)[1]
-    ).count()
+    parts = [spark.table(targets.table_name(DB, RECURRING, part)) for part in ("positive_class", "negative_class")]
+    held_out = train_test_split(training_union(*parts))[1].count()
+    assert p["tp"] + p["fp"] + p["tn"] + p["fn"] == held_out
     assert result.grid.count() == 1
     importance = {r["feature"]: r["importance"] for r in result.importance.collect()}
     assert set(importance) == set(train.coded_features(RECURRING.features, starschema.VENDOR_CODES).columns)

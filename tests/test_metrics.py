@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.mllib.evaluation import BinaryClassificationMetrics
 from pyspark.sql import functions as F
 
+from actionwise.functions.exprs import OCTAVES, STEPS, score_bucket
 from actionwise.operators import metrics
 from actionwise.operators.cumulative import running_totals
 
@@ -125,13 +126,22 @@ def test_empty_quadrants_are_zero(spark):
     assert metrics.confusion_matrix(df).first().asDict() == {"tp": 1, "fp": 0, "tn": 0, "fn": 0}
 
 
-@pytest.mark.parametrize("buckets", [1, 7, 4096])
-def test_running_totals_do_not_depend_on_buckets(noisy, buckets):
+@pytest.mark.parametrize("steps", [1, 7, 4096])
+def test_running_totals_do_not_depend_on_buckets(noisy, steps):
     points = metrics.score_points(noisy)
-    got = {r["score"]: (r["pos_to"], r["neg_to"], r["pos_all"]) for r in running_totals(points, ["pos", "neg"], buckets=buckets).collect()}
+    got = {r["score"]: (r["pos_to"], r["neg_to"], r["pos_all"]) for r in running_totals(points, ["pos", "neg"], steps=steps).collect()}
     pos = neg = 0
     rows = sorted(points.collect(), key=lambda r: -r["score"])
     total = sum(r["pos"] for r in rows)
     for r in rows:
         pos, neg = pos + r["pos"], neg + r["neg"]
         assert got[r["score"]] == (pos, neg, total)
+
+
+def test_buckets_are_monotone(spark):
+    rng = random.Random(3)
+    edges = [v for e in range(0, 60) for v in (2.0**-e, 2.0**-e * (1 - 1e-16), 2.0**-e * (1 + 3e-16))]
+    values = sorted([0.0, -1.0, 2.0, 5e-324, *edges, *[rng.random() ** rng.choice([1, 5, 30]) for _ in range(3000)]])
+    df = spark.createDataFrame([(v,) for v in values], "p double").select("p", score_bucket(F.col("p")).alias("b"))
+    buckets = [r["b"] for r in sorted(df.collect(), key=lambda r: r["p"])]
+    assert buckets == sorted(buckets) and min(buckets) == 0 and max(buckets) <= OCTAVES * STEPS + 1

@@ -13,7 +13,7 @@ from actionwise.operators import deciles, ranking, scoring
 from actionwise.operators.population import negative_class
 from actionwise.plans import starschema
 from actionwise.plans.catalog import all_queries
-from actionwise.sources.tables import scan, stage
+from actionwise.sources.tables import scan, stage, write_snapshot
 from actionwise.specs import ACTIONS
 
 BASE = "/root/testdata/sf0.001"
@@ -35,20 +35,16 @@ def shuffle_joins(spark):
 @needs_tables
 def test_ranking_adds_no_shuffle(spark, shuffle_joins):
     users = starschema.load_profile(spark, BASE)
-    ranks = ranking.rank_actions(scoring.score_actions(users, ACTIONS_WITH_FEATURES, starschema.frozen_scorers()), ACTIONS_WITH_FEATURES)
+    ranks = ranking.rank_actions(scoring.score_actions(users, starschema.ACTIONS, starschema.frozen_scorers()), starschema.ACTIONS)
     assert plan_of(ranks).count("Exchange") == plan_of(users).count("Exchange")
     assert "Window" not in plan_of(ranks)
 
-
-ACTIONS_WITH_FEATURES = starschema.ACTIONS
-
-
 @needs_tables
 def test_long_ranking_reuses_the_partitioning_of_the_user_key(spark, shuffle_joins):
     users = starschema.load_profile(spark, BASE)
-    scores = scoring.score_actions(users, ACTIONS_WITH_FEATURES, starschema.frozen_scorers())
-    long = ranking.action_ranks(ranking.unpivot_scores(ranking.action_scores(scores, ACTIONS_WITH_FEATURES)))
-    wide = ranking.pivot_ranks(long, ACTIONS_WITH_FEATURES)
+    scores = scoring.score_actions(users, starschema.ACTIONS, starschema.frozen_scorers())
+    long = ranking.action_ranks(ranking.unpivot_scores(ranking.action_scores(scores, starschema.ACTIONS)))
+    wide = ranking.pivot_ranks(long, starschema.ACTIONS)
     assert plan_of(wide).count("Exchange") == plan_of(users).count("Exchange")
 
 
@@ -81,14 +77,18 @@ def test_no_python_in_the_plan(spark, name):
 
 
 def test_deciles_keep_the_table_in_place(spark):
-    """No exchange above the scan of the scored users; only cut finding aggregates, inside a subquery."""
+    """The scored users are only scanned and projected; exchanges and windows occur in the subquery of the cuts."""
     action = ACTIONS[2]
-    df = stage(spark.range(1000).select("id", (F.rand(1)).alias(action.probability)), "scores")
-    plan = plan_of(deciles.score_deciles(df, action))
-    main = re.sub(r"Subquery subquery.*?(?=\n\S|\Z)", "", plan, flags=re.S)
-    outer = [line for line in plan.splitlines() if "Subquery" not in line and not re.match(r"^\s*:", line)]
-    assert main and not any("Exchange" in line or "Window" in line for line in outer if re.match(r"^\s*\+-", line))
-    assert "PartitionSpec" not in plan and "Window [ntile" not in plan
+    df = stage(spark.range(1000).select("id", F.rand(1).alias(action.probability)), "scores")
+    plan = deciles.score_deciles(df, action)._jdf.queryExecution().executedPlan().inputPlan()
+    nodes = []
+    while True:
+        nodes.append(plan.nodeName())
+        if plan.children().isEmpty():
+            break
+        plan = plan.children().apply(0)
+    assert not any("Exchange" in n or "Window" in n or "Join" in n or "Sort" in n for n in nodes), nodes
+    assert any("Scan" in n for n in nodes)
 
 
 def _facts(spark):
@@ -144,6 +144,21 @@ def test_profile_against_brute_force_on_skewed_facts(spark):
         assert row["business_requirement_2_binary"] == int(any(o[2] == "P" for o in recent))
 
 
+def test_eligible_users_only(spark):
+    customer, orders, items, *_ = _facts(spark)
+    everyone = starschema.user_profile(customer, orders, items)
+    some = spark.createDataFrame([(1,), (4,), (99,)], "id long")
+    got = starschema.user_profile(customer, orders, items, eligible=some)
+    assert sorted(got.collect()) == sorted(everyone.filter("id IN (1, 4)").collect())
+
+
+def test_bucketed_snapshots_join_without_shuffle(spark, shuffle_joins):
+    for name in ("left_side", "right_side"):
+        write_snapshot(spark.range(100).withColumn(name, F.col("id") * 2), name, buckets=4)
+    joined = spark.table("left_side").drop("snapshot_date").join(spark.table("right_side").drop("snapshot_date"), "id")
+    assert "Exchange" not in plan_of(joined) and joined.count() == 100
+
+
 def test_staging_needs_a_shared_folder_on_a_cluster():
     from actionwise.sources.tables import staging_dir
 
