@@ -12,6 +12,8 @@ Every user then gets 1 + the number of cuts below, a narrow expression: the scor
 The result equals ``ntile(tiles) OVER (ORDER BY score NULLS FIRST, hash, key)``.
 
 The steps read their input again each time, so it should be a stored table rather than a long computation.
+
+Up to SMALL_ROWS users, checked by counting no further than that, a plain ntile window is cheaper and gives the same tiles.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from ..functions.exprs import clipped, score_bucket
 from ..functions.hashing import HASH_RANGE, hash32
 from ..specs import KEY, ActionSpec
 
+SMALL_ROWS = 500_000   # up to here one task sorts the users of an action
 PARTS = 16384        # equal parts a bucket is cut into
 HASH_RANGES = 4096   # hash ranges that split users with the same score
 NULL_SCORE = float("-inf")
@@ -99,11 +102,18 @@ def tile_of(score: str, cuts: str, tiles: int) -> Column:
     return F.expr(f"1 + CASE WHEN array_contains({cuts}.p, {p}) THEN {exact} ELSE {plain} END")
 
 
-def with_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
-    """Add the decile column of every action to a wide score table (id, probabilities, scored markers).
+def window_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
+    """Deciles by one ordered window per action: for few users only."""
+    for a in actions:
+        order = Window.partitionBy(a.scored).orderBy(F.col(a.probability).asc_nulls_first(), "_h", KEY)
+        df = df.withColumn("_h", hash32(KEY)).withColumn(
+            a.decile, F.when(F.col(a.scored), F.ntile(tiles).over(order)).otherwise(0).cast("int")
+        )
+    return df.drop("_h")
 
-    Users without a real score (`scored` is false) take no part and get 0. All actions share the same passes.
-    """
+
+def cut_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
+    """Deciles by cut rows: for any number of users. All actions share the same passes."""
     long = df.select(
         KEY,
         F.inline(
@@ -130,9 +140,20 @@ def with_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10)
     )
 
 
-def score_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10) -> DataFrame:
+def with_deciles(
+    df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10, small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Add the decile column of every action to a wide score table (id, probabilities, scored markers).
+
+    Users without a real score (`scored` is false) take no part and get 0.
+    """
+    small = small_rows > 0 and df.limit(small_rows + 1).count() <= small_rows
+    return (window_deciles if small else cut_deciles)(df, actions, tiles)
+
+
+def score_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Deciles of one action over all rows, 10 = most likely."""
-    return with_deciles(df.withColumn(action.scored, F.lit(True)), [action], tiles).drop(action.scored)
+    return with_deciles(df.withColumn(action.scored, F.lit(True)), [action], tiles, small_rows).drop(action.scored)
 
 
 def approx_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10, accuracy: int = 1000) -> DataFrame:

@@ -173,7 +173,8 @@ def class_ratio(spark, sf):
 
 @query
 def downsample_negative(spark, sf):
-    return population.downsample_negative(_population(spark, sf), RECURRING.flag).select(KEY, RECURRING.flag)
+    everyone = stage(_population(spark, sf), "population")
+    return population.downsample_negative(everyone, RECURRING.flag).select(KEY, RECURRING.flag)
 
 
 @query
@@ -183,7 +184,7 @@ def value_distribution(spark, sf):
 
 @query
 def distribution_drift(spark, sf):
-    everyone = _population(spark, sf)
+    everyone = stage(_population(spark, sf), "population")  # read for both sides, their totals and the class ratio
     return distributions.distribution_drift(
         population.negative_class(everyone, RECURRING.flag),
         population.downsample_negative(everyone, RECURRING.flag),
@@ -219,7 +220,7 @@ def cast_numeric(spark, sf):
 
 @query
 def training_union(spark, sf):
-    everyone = _population(spark, sf)
+    everyone = stage(_population(spark, sf), "population")
     positive = population.positive_class(everyone, RECURRING.flag)
     negative = population.downsample_negative(everyone, RECURRING.flag)
     return training_data(positive, negative, RECURRING, RECURRING.features)
@@ -274,7 +275,7 @@ def precision_by_threshold(spark, sf):
 
 def _labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Stored training rows of one action, split into train and test."""
-    everyone = _population(spark, sf)
+    everyone = stage(_population(spark, sf), "population")
     positive = population.positive_class(everyone, RECURRING.flag)
     negative = population.downsample_negative(everyone, RECURRING.flag)
     data = stage(training_data(positive, negative, RECURRING, RECURRING.features), "training")
@@ -337,6 +338,12 @@ def score_deciles(spark, sf):
     return deciles.score_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING)
 
 
+@query
+def score_deciles_by_cuts(spark, sf):
+    """The way deciles are computed for many users."""
+    return deciles.score_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING, small_rows=0)
+
+
 @query
 def approx_deciles(spark, sf):
     return deciles.approx_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING)
@@ -353,11 +360,20 @@ def binary_decisioning(spark, sf):
     return scoring.binary_decisioning(star.load_profile(spark, sf), RULES)
 
 
+def _all_scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all actions, those of transport joined from the outside table; stored for the deciles."""
+    users = stage(star.load_profile(spark, sf), "profile")
+    return stage(scoring.score_actions(users, star.ACTIONS, star.table_scorers(star.outside_table(users))), "scores")
+
+
 @query
 def user_level_scores(spark, sf):
-    users = stage(star.load_profile(spark, sf), "profile")
-    scores = scoring.score_actions(users, star.ACTIONS, star.table_scorers(star.outside_table(users)))
-    return score_table(stage(scores, "scores"), star.ACTIONS)
+    return score_table(_all_scored(spark, sf), star.ACTIONS)
+
+
+@query
+def user_level_scores_by_cuts(spark, sf):
+    return score_table(_all_scored(spark, sf), star.ACTIONS, small_rows=0)
 
 
 @query

@@ -310,6 +310,7 @@ def oracles() -> dict[str, str]:
     out["score_deciles"] = scores + (
         f"SELECT id, {R}_probability, {R}_prediction, tile AS {R}_score_decile FROM scores JOIN ({_tiles(R)}) USING (id)"
     )
+    out["score_deciles_by_cuts"] = out["score_deciles"]
     out["transport_scores"] = profile + (
         "SELECT id, transport_action_binary, CASE WHEN return_share IS NULL THEN NULL WHEN return_share >= CAST(1 AS DOUBLE) / 3 THEN "
         "CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS transport_action_prediction, return_share AS transport_action_probability FROM profile"
@@ -320,6 +321,7 @@ def oracles() -> dict[str, str]:
     triples = ", ".join(f"{a}_probability, {a}_prediction, coalesce({a}_tiles.tile, 0) AS {a}_score_decile" for a in SHARES)
     joins = " ".join(f"LEFT JOIN {a}_tiles ON {a}_tiles.id = scores.id" for a in SHARES)
     out["user_level_scores"] = _with(PROFILE, SCORES, *tiles) + f"SELECT scores.id, {flipped}, {triples} FROM scores {joins}"
+    out["user_level_scores_by_cuts"] = out["user_level_scores"]
     out["gathered_scores"] = scores + "SELECT id, " + ", ".join(
         f"{a}_probability, {a}_prediction, CAST({a}_scored AS INTEGER) AS {a}_score_decile" for a in SHARES
     ) + " FROM scores"

@@ -23,7 +23,7 @@ def frame(spark, scores):
 
 
 def mismatches(df, tiles=10):
-    got = deciles.score_deciles(df, ACTION, tiles)
+    got = deciles.score_deciles(df, ACTION, tiles, small_rows=0)
     want = df.withColumn("want", F.ntile(tiles).over(Window.orderBy(F.col(P).asc_nulls_first(), hash32("id"), "id")))
     return got.join(want.select("id", "want"), "id").filter(F.col("want") != F.col(D)).count()
 
@@ -60,7 +60,7 @@ def test_every_shape_equals_ntile(spark):
         for i in range(size)
     ]
     schema = ", ".join(["id long", *[f"{a.probability} double, {a.scored} boolean" for a in actions]])
-    got = deciles.with_deciles(spark.createDataFrame(rows, schema), actions)
+    got = deciles.cut_deciles(spark.createDataFrame(rows, schema), actions)
     for a in actions:  # unscored users sort apart, so they do not touch the tiles of the scored ones
         order = Window.partitionBy(a.scored).orderBy(F.col(a.probability).asc_nulls_first(), hash32("id"), "id")
         want = F.when(F.col(a.scored), F.ntile(10).over(order)).otherwise(0)
@@ -87,12 +87,23 @@ def test_any_scores(spark, scores):
 
 
 def test_empty_input(spark):
-    assert deciles.score_deciles(frame(spark, [0.1]).filter("id < 0"), ACTION).count() == 0
+    for small_rows in (0, 10):
+        nobody = frame(spark, [0.1]).filter("id < 0")
+        assert deciles.score_deciles(nobody, ACTION, small_rows=small_rows).count() == 0
+
+
+def test_both_ways_agree(spark):
+    df = frame(spark, third_is_hot(random.Random(8), 400))
+    few = deciles.score_deciles(df, ACTION, small_rows=400)
+    many = deciles.score_deciles(df, ACTION, small_rows=399)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (few, many)]
+    assert "ntile" in plans[0] and "ntile" not in plans[1]
+    assert sorted(few.collect()) == sorted(many.collect())
 
 
 def test_same_for_any_partitioning(spark):
     df = frame(spark, third_is_hot(random.Random(2), 2000))
-    results = [sorted(deciles.score_deciles(df.repartition(n), ACTION).select("id", D).collect()) for n in (1, 8)]
+    results = [sorted(deciles.score_deciles(df.repartition(n), ACTION, small_rows=0).select("id", D).collect()) for n in (1, 8)]
     assert results[0] == results[1]
 
 
@@ -107,7 +118,7 @@ def test_action_without_scored_users(spark):
         "id", (F.col("id") / 20).alias(a.probability), F.lit(True).alias(a.scored),
         F.lit(0.0).alias(b.probability), F.lit(False).alias(b.scored),
     )
-    got = deciles.with_deciles(df, [a, b])
+    got = deciles.cut_deciles(df, [a, b])
     assert got.filter(F.col(b.decile) != 0).count() == 0
     assert got.groupBy(a.decile).count().filter("count = 2").count() == 10
 

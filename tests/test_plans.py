@@ -80,7 +80,7 @@ def test_deciles_keep_the_table_in_place(spark):
     """The scored users are only scanned and projected; exchanges and windows occur in the subquery of the cuts."""
     action = ACTIONS[2]
     df = stage(spark.range(1000).select("id", F.rand(1).alias(action.probability)), "scores")
-    plan = deciles.score_deciles(df, action)._jdf.queryExecution().executedPlan().inputPlan()
+    plan = deciles.score_deciles(df, action, small_rows=0)._jdf.queryExecution().executedPlan().inputPlan()
     nodes = []
     while True:
         nodes.append(plan.nodeName())
