@@ -147,6 +147,7 @@ def with_deciles(
 
     Users without a real score (`scored` is false) take no part and get 0.
     """
+    # no further than one row past the limit, and without reading a column
     small = small_rows > 0 and df.limit(small_rows + 1).count() <= small_rows
     return (window_deciles if small else cut_deciles)(df, actions, tiles)
 

@@ -85,3 +85,8 @@ def train_test_split(
 def with_fold(df: DataFrame, folds: int, seed: int, key: str = KEY) -> DataFrame:
     """Cross-validation fold in [0, folds) by key hash; a seed of its own keeps it independent of the split."""
     return df.withColumn("fold", F.floor(hash_fraction(key, seed + 1) * folds).cast("int"))
+
+
+def duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
+    """Keys that occur more than once, with their number of rows; user and score tables must have none."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import vendor_rename
 from ..operators.deciles import SMALL_ROWS, with_deciles
+from ..operators.population import duplicate_keys
 from ..operators.ranking import rank_actions
 from ..operators.scoring import Scorer, model_scorer, score_actions
 from ..sources.registry import latest_uris, load_model
@@ -58,10 +59,14 @@ def deploy(
 ) -> tuple[DataFrame, DataFrame]:
     """Score users, write `user_level_scores` and `user_level_ranks`, and return both tables.
 
-    The models run once: their output is staged, deciles and ranks both read the stage.
+    The models run once: their output is staged, deciles and ranks both read the stage. A key that occurs twice, in the
+    users or in an outside score table, is an error.
     """
     stored = coded_actions(actions, codes or {})
     scores = stage(score_actions(vendor_rename(users, codes or {}), stored, scorers), "scores")
+    repeated = duplicate_keys(scores).take(1)
+    if repeated:
+        raise ValueError(f"user key is not unique: {repeated[0][KEY]!r} occurs {repeated[0]['n']} times")
     write_snapshot(user_level_scores(scores, stored), f"{database}.user_level_scores", as_of, buckets)
     write_snapshot(rank_actions(scores, stored, modifiers), f"{database}.user_level_ranks", as_of, buckets)
     return spark.table(f"{database}.user_level_scores"), spark.table(f"{database}.user_level_ranks")

@@ -13,7 +13,7 @@ from ..operators.metrics import auc_roc, model_performance, roc_curve, threshold
 from ..operators.population import train_test_split, training_union
 from ..operators.training import best_params, cross_validate, evaluation_frame, feature_importance, grid_metrics
 from ..sources.registry import append_registry, registry_row, save_model
-from ..sources.tables import stage
+from ..sources.tables import stage, staging_dir
 from ..specs import ActionSpec, FeatureSpec, TrainSpec, model_actions
 from .targets import table_name
 
@@ -58,6 +58,7 @@ def train_action(
     """Read the class tables, search the grid, evaluate on held-out users, store the model, append to the registry."""
     features = coded_features(action.features, codes or {})
     parts = [spark.table(table_name(database, action, part)) for part in ("positive_class", "negative_class")]
+    staging_dir(spark)  # boosting cuts its own lineage in the checkpoint folder
     train, test = train_test_split(training_data(*parts, action, features), spec.train_fraction, spec.seed)
     search = cross_validate(train, features, spec)
     model = search.bestModel

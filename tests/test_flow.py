@@ -118,6 +118,12 @@ def test_deploy_with_trained_models(spark, users, trained):
     assert ranks.drop("snapshot_date").exceptAll(again).count() == 0
 
 
+def test_repeated_user_key_is_an_error(spark, users):
+    rules = [a for a in starschema.ACTIONS if a.is_rule]
+    with pytest.raises(ValueError, match="not unique"):
+        deploy.deploy(spark, users.unionByName(users.limit(1)), rules, {}, DB)
+
+
 def test_missing_model_is_reported(spark, trained):
     with pytest.raises(ValueError, match="long_term"):
         deploy.newest_model_scorers(spark.table(f"{DB}.models"), starschema.ACTIONS)
