@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clipped, score_bucket
-from ..functions.hashing import HASH_RANGE, hash32
+from ..functions.hashing import HASH_RANGE, hash32, hash32_sql
 from ..specs import KEY, ActionSpec
 
 SMALL_ROWS = 500_000   # up to here one task sorts the users of an action
@@ -92,23 +92,24 @@ def tile_cuts(scores: DataFrame, actions: Sequence[str], tiles: int = 10) -> Dat
 
 
 def tile_of(score: str, cuts: str, tiles: int) -> Column:
-    """1 + number of cuts below (score, hash, key); needs the columns `_h` (hash of the key) and `cuts`.
+    """1 + number of cuts below (score, hash of the key, key).
 
-    Only users whose score equals a cut score need the full comparison; all others take the plain one.
+    Only users whose score equals a cut score are hashed and fully compared; the one-element array holds such a user's
+    values, so that they are built once and not per cut.
     """
     p = f"coalesce({score}, double('-Infinity'))"
     plain = " + ".join(f"CASE WHEN {p} > get({cuts}.p, {i}) THEN 1 ELSE 0 END" for i in range(tiles - 1))
-    exact = f"size(filter({cuts}, c -> c < named_struct('p', {p}, 'h', _h, '{KEY}', {KEY})))"
+    me = f"array(named_struct('p', {p}, 'h', {hash32_sql(KEY)}, '{KEY}', {KEY}))"
+    exact = f"transform({me}, me -> size(filter({cuts}, c -> c < me)))[0]"
     return F.expr(f"1 + CASE WHEN array_contains({cuts}.p, {p}) THEN {exact} ELSE {plain} END")
 
 
 def window_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
     """Deciles by one ordered window per action: for few users only."""
+    df = df.withColumn("_h", hash32(KEY))
     for a in actions:
         order = Window.partitionBy(a.scored).orderBy(F.col(a.probability).asc_nulls_first(), "_h", KEY)
-        df = df.withColumn("_h", hash32(KEY)).withColumn(
-            a.decile, F.when(F.col(a.scored), F.ntile(tiles).over(order)).otherwise(0).cast("int")
-        )
+        df = df.withColumn(a.decile, F.when(F.col(a.scored), F.ntile(tiles).over(order)).otherwise(0).cast("int"))
     return df.drop("_h")
 
 
@@ -133,10 +134,10 @@ def cut_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -
     lookup = tile_cuts(long, names, tiles).select(F.struct(*names)).scalar()
     tile = {a.decile: tile_of(a.probability, f"_cuts_{a.name}", tiles) for a in actions}
     return (
-        df.withColumns({"_h": hash32(KEY), "_cuts": lookup})
+        df.withColumn("_cuts", lookup)
         .withColumns({f"_cuts_{name}": F.col("_cuts")[name] for name in names})
         .withColumns({a.decile: F.when(F.col(a.scored), tile[a.decile]).otherwise(0).cast("int") for a in actions})
-        .drop("_h", "_cuts", *[f"_cuts_{name}" for name in names])
+        .drop("_cuts", *[f"_cuts_{name}" for name in names])
     )
 
 

@@ -11,7 +11,7 @@ from ..operators import cleaning, deciles, distributions, metrics, population, r
 from ..sources.registry import latest_models
 from ..sources.tables import scan, stage
 from ..sources.tables import survivability_table as modifier_table
-from ..specs import KEY, FeatureSpec, TrainSpec, model_actions, scored_actions
+from ..specs import KEY, TrainSpec, model_actions, scored_actions
 from . import starschema as star
 from .deploy import user_level_scores as score_table
 from .targets import training_population
