@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +108,32 @@ def has_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+SIEVE_BITS = 1 << 23  # 1 MB, however many keys
+
+
+def likely_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key may be among `keys`, by a bit table of fixed size: fewer rows to shuffle for the join that follows.
+
+    The table is made by Spark's bitmap aggregate. With more keys it lets more rows pass, and never loses one.
+    """
+    slot = F.xxhash64(F.col(key)).bitwiseAND(F.lit(SIEVE_BITS - 1))
+    # Spark counts the bits of a bitmap from value 1
+    parts = keys.select((slot + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part"))
+    rows = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    table = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for row in rows:  # at most SIEVE_BITS / 32768 rows of 4 KB
+        table[(row["part"] - 1) * 4096 :][:4096] = np.frombuffer(row["bits"], np.uint8)
+    bits = df.sparkSession.sparkContext.broadcast(table)
+
+    def sift(batches):
+        for batch in batches:
+            number = batch.column(batch.schema.get_field_index("_slot")).to_numpy(zero_copy_only=False)
+            hit = (bits.value[number >> 3] >> (number & 7).astype(np.uint8)) & 1
+            yield batch.drop_columns(["_slot"]).filter(pa.array(hit.astype(bool)))
+
+    return df.withColumn("_slot", slot).mapInArrow(sift, df.schema)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of the edges (a, b); a component bears its smallest node.
 

@@ -4,8 +4,8 @@
 2. Candidate groups come from prefixes: in one global order of shingles, two sets that are similar enough share one of their
    first n - ceil(t n) + 1 shingles. Common shingles come last in that order, by a count sketch of fixed size, so that a
    passage that many documents share doesn't bring them together.
-3. Inside a group and size band, each set is first held against the smallest one. This finds most links with as many
-   pairs as there are rows. Linked sets are joined to components.
+3. Inside a group, each set is first held against the smallest one of its size band and the next smaller one. This finds most links
+   with as many pairs as there are rows. Linked sets are joined to components.
 4. Groups that still hold several components are cut into size-banded tiles, and all pairs of a tile that cross components are
    looked at: no link is lost, and no group of copies is expanded into pairs.
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import stage
-from .common import chunked, components, has_columns, mix, shingles, words_of
+from .common import chunked, components, has_columns, likely_in, mix, shingles, words_of
 
 SKETCH = 1 << 17   # counters of the shingle sketch
 HEAVY = 4          # times the mean count from which a counter makes its shingles common
@@ -44,7 +44,7 @@ def _sets(texts: pd.Series, size: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def bitmap(values: np.ndarray) -> bytes:
     """Parity bits of a set; the width is a power of two from the size of the set."""
-    width = min(max(LEAST_BITS, 1 << int(4 * max(len(values), 1) - 1).bit_length()), MOST_BITS)
+    width = min(max(LEAST_BITS, 1 << int(2 * max(len(values), 1) - 1).bit_length()), MOST_BITS)
     bits = np.bincount((mix(values) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
@@ -134,7 +134,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
             values = [v.tobytes() for _, v in _sets(batch["text"], size)]
             yield pd.DataFrame({"set_key": batch["set_key"].array, "values": values})
 
-    texts = docs.join(wanted, "doc_id").select("set_key", "text")
+    wanted = stage(wanted, "jaccard_wanted")
+    texts = likely_in(docs, wanted, "doc_id").join(wanted, "doc_id").select("set_key", "text")
     sets = stage(texts.mapInPandas(arrays, "set_key bigint, values binary").dropDuplicates(["set_key"]), "jaccard_sets")
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,33 +152,37 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
     return stage(both.mapInPandas(decide, "a bigint, b bigint, linked boolean"), "jaccard_links")
 
 
-def _tiles(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components whose bitmaps pass, from groups (token, set_key, n, component, bits).
+def _tiles(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components whose bitmaps pass, from groups (token, set_key, n, component).
 
     Groups of the same sets are looked at once. A group is cut into blocks of TILE sets by size; a tile holds two blocks.
     """
     same = rows.groupBy("token").agg(F.sum(F.xxhash64("set_key") % (1 << 40)).alias("x"), F.expr("bit_xor(set_key)").alias("y"), F.count(F.lit(1)).alias("m"))
     once = same.groupBy("x", "y", "m").agg(F.min("token").alias("token"))
     placed = rows.join(once.select("token", "m"), "token")
+    placed = placed.join(reps.select("set_key", "bits"), "set_key")
     placed = placed.withColumn("block", F.expr(f"(row_number() OVER (PARTITION BY token ORDER BY n, set_key) - 1) div {TILE}"))
     other = F.explode(F.expr(f"sequence(0, (m - 1) div {TILE})")).alias("other")
     tiles = placed.select("token", "set_key", "n", "component", "bits", "block", other)
     tiles = tiles.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
 
     def cross(part: pd.DataFrame) -> np.ndarray:
-        width = min(map(len, part["bits"]))
-        bits = np.stack([folded(b, width) for b in part["bits"]])
-        n, key, comp, block = (part[c].to_numpy() for c in ("n", "set_key", "component", "block"))
+        n, key, comp, block, raw = (part[c].to_numpy() for c in ("n", "set_key", "component", "block", "bits"))
         i, j = part["i"].iat[0], part["j"].iat[0]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        length = np.fromiter(map(len, raw), np.int64, len(raw))
         out = []
-        for x in left:
-            y = right[right > x] if i == j else right
-            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
-            differ = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
-            y = y[(100 + percent) * differ <= (100 - percent) * (n[y] + n[x])]
-            out.append(np.column_stack((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]))))
-        return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+        for width in np.unique(length):  # sets of similar size have bitmaps of the same width, or of twice that
+            band = np.flatnonzero((length == width) | (length == 2 * width))
+            bits = np.stack([folded(raw[k], width) for k in band])
+            for at in np.flatnonzero(length[band] == width):
+                x = band[at]
+                near = (comp[band] != comp[x]) & (100 * np.minimum(n[x], n[band]) >= percent * np.maximum(n[x], n[band]))
+                near &= ((length[band] > width) | (band > x)) & ((i == j) | (block[band] != block[x]))
+                y = np.flatnonzero(near)
+                differ = np.bitwise_count(bits[y] ^ bits[at]).sum(axis=1, dtype=np.int64)
+                y = band[y[(100 + percent) * differ <= (100 - percent) * (n[band[y]] + n[x])]]
+                out.append(np.column_stack((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]))))
+        return np.concatenate(out)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -208,23 +213,24 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     reps = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     reps = stage(reps, "jaccard_sets")
 
-    rows = some.select("set_key", "n", F.explode("prefix").alias("token")).dropDuplicates(["token", "set_key"])
+    rows = some.select("set_key", "n", F.explode("prefix").alias("token")).repartition("token").dropDuplicates(["token", "set_key"])
     band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))).cast("int")
     place = Window.partitionBy("token").orderBy("n", "set_key")
-    rows = rows.withColumns({"band": band, "last": F.lag("set_key").over(place), "last_band": F.lag(band).over(place), "next": F.lead("set_key").over(place)})
+    rows = rows.withColumns({"band": band, "last": F.lag("set_key").over(place), "next": F.lead("set_key").over(place)})
     grouped = stage(rows.filter("last IS NOT NULL OR next IS NOT NULL").drop("next"), "jaccard_groups")
     head = F.first("set_key").over(Window.partitionBy("token", "band").orderBy("n", "set_key"))
-    star = grouped.select(F.col("set_key").alias("x"), F.when(F.col("last_band") < F.col("band"), F.col("last")).otherwise(head).alias("y"))
-    ordered = lambda d: d.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    first = _verified(stage(_passing(ordered(star), reps, percent), "jaccard_pairs"), docs, reps, size, percent)
+    star = grouped.select("n", F.col("set_key").alias("x"), F.explode(F.array_distinct(F.array(head, "last"))).alias("y"))
+    # here only pairs that meet in a tenth of their prefixes: this step need not find all
+    pairs = star.filter("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("met"), F.max("n").alias("n"))
+    pairs = pairs.filter(F.col("met") * 1000 >= F.col("n") * (100 - percent)).select("a", "b")
+    first = _verified(stage(_passing(pairs, reps, percent), "jaccard_pairs"), docs, reps, size, percent)
 
     near = stage(components(first.filter("linked").select("a", "b"), "jaccard_near"), "jaccard_near")
     known = grouped.select("token", "set_key", "n").join(near.withColumnRenamed("node", "set_key"), "set_key", "left")
     known = known.withColumn("component", F.coalesce("component", "set_key"))
     whole = Window.partitionBy("token")
     mixed = known.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low < high")
-    mixed = mixed.drop("low", "high").join(reps.select("set_key", "bits"), "set_key")
-    rest = _tiles(mixed, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    rest = _tiles(mixed.drop("low", "high"), reps, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
     rest = stage(rest, "jaccard_pairs")
     links = first if rest.isEmpty() else first.unionByName(_verified(rest, docs, reps, size, percent))
     links = links.filter("linked").select("a", "b")
