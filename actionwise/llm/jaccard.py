@@ -219,7 +219,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rows = rows.withColumns({"band": band, "last": F.lag("set_key").over(place), "next": F.lead("set_key").over(place)})
     grouped = stage(rows.filter("last IS NOT NULL OR next IS NOT NULL").drop("next"), "jaccard_groups")
     head = F.first("set_key").over(Window.partitionBy("token", "band").orderBy("n", "set_key"))
-    star = grouped.select("n", F.col("set_key").alias("x"), F.explode(F.array_distinct(F.array(head, "last"))).alias("y"))
+    star = grouped.withColumn("head", head).select("n", F.col("set_key").alias("x"), F.explode(F.array("head", "last")).alias("y"))
     # here only pairs that meet in a tenth of their prefixes: this step need not find all
     pairs = star.filter("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("met"), F.max("n").alias("n"))
     pairs = pairs.filter(F.col("met") * 1000 >= F.col("n") * (100 - percent)).select("a", "b")
