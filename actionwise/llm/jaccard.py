@@ -6,8 +6,9 @@
    passage that many documents share doesn't bring them together.
 3. Inside a group, each set is first held against the smallest one of its size band and the next smaller one. This finds most links
    with as many pairs as there are rows. Linked sets are joined to components.
-4. Groups that still hold several components are cut into size-banded tiles, and all pairs of a tile that cross components are
-   looked at: no link is lost, and no group of copies is expanded into pairs.
+4. Groups that still hold several components are cut into size-banded tiles. First each set of a tile is held against the nearest one of
+   another component, then all pairs of a tile that still cross components are looked at: no link is lost, and no group of
+   copies is expanded into pairs.
 
 Every pair first meets its bitmaps: bit i holds the parity of the shingles hashed to i, so the number of bits in which
 two bitmaps differ is at most the size of the symmetric difference, which bounds the overlap from above. What passes is decided
@@ -32,7 +33,7 @@ from .common import chunked, components, has_columns, likely_in, mix, shingles,
 SKETCH = 1 << 17   # counters of the shingle sketch
 HEAVY = 4          # times the mean count from which a counter makes its shingles common
 TILE = 512         # sets in a side of a tile
-LEAST_BITS, MOST_BITS = 256, 1 << 15
+LEAST_BITS, MOST_BITS = 1024, 1 << 15
 
 
 def _sets(texts: pd.Series, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -152,9 +153,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
     return stage(both.mapInPandas(decide, "a bigint, b bigint, linked boolean"), "jaccard_links")
 
 
-def _tiles(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _tiles(rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) of different components whose bitmaps pass, from groups (token, set_key, n, component).
 
+    With `nearest`, only the pair of fewest differing bits is given for each set of a tile.
     Groups of the same sets are looked at once. A group is cut into blocks of TILE sets by size; a tile holds two blocks.
     """
     same = rows.groupBy("token").agg(F.sum(F.xxhash64("set_key") % (1 << 40)).alias("x"), F.expr("bit_xor(set_key)").alias("y"), F.count(F.lit(1)).alias("m"))
@@ -180,7 +182,10 @@ def _tiles(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 near &= ((length[band] > width) | (band > x)) & ((i == j) | (block[band] != block[x]))
                 y = np.flatnonzero(near)
                 differ = np.bitwise_count(bits[y] ^ bits[at]).sum(axis=1, dtype=np.int64)
-                y = band[y[(100 + percent) * differ <= (100 - percent) * (n[band[y]] + n[x])]]
+                fit = (100 + percent) * differ <= (100 - percent) * (n[band[y]] + n[x])
+                y = band[y[fit]]
+                if nearest and len(y):
+                    y = y[[differ[fit].argmin()]]
                 out.append(np.column_stack((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]))))
         return np.concatenate(out)
 
@@ -225,14 +230,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     pairs = pairs.filter(F.col("met") * 1000 >= F.col("n") * (100 - percent)).select("a", "b")
     first = _verified(stage(_passing(pairs, reps, percent), "jaccard_pairs"), docs, reps, size, percent)
 
-    near = stage(components(first.filter("linked").select("a", "b"), "jaccard_near"), "jaccard_near")
-    known = grouped.select("token", "set_key", "n").join(near.withColumnRenamed("node", "set_key"), "set_key", "left")
-    known = known.withColumn("component", F.coalesce("component", "set_key"))
-    whole = Window.partitionBy("token")
-    mixed = known.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low < high")
-    rest = _tiles(mixed.drop("low", "high"), reps, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stage(rest, "jaccard_pairs")
-    links = first if rest.isEmpty() else first.unionByName(_verified(rest, docs, reps, size, percent))
+    links = first
+    for nearest in (True, False):
+        near = stage(components(links.filter("linked").select("a", "b"), "jaccard_near"), "jaccard_near")
+        known = grouped.select("token", "set_key", "n").join(near.withColumnRenamed("node", "set_key"), "set_key", "left")
+        known = known.withColumn("component", F.coalesce("component", "set_key"))
+        whole = Window.partitionBy("token")
+        mixed = known.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low < high")
+        rest = _tiles(mixed.drop("low", "high"), reps, percent, nearest).join(links.select("a", "b"), ["a", "b"], "left_anti")
+        rest = stage(rest, "jaccard_pairs")
+        if rest.isEmpty():
+            break
+        links = links.unionByName(_verified(rest, docs, reps, size, percent))
     links = links.filter("linked").select("a", "b")
     comps = components(links).withColumnRenamed("node", "set_key")
     found = described.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(comps, "set_key", "left")
