@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import scan
+from ..sources.tables import scan as scan_table
 from . import decontaminate, jaccard, mixing, quality, tokens
+from .common import small_batches
+
+
+def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
+    return scan_table(spark, sf_dir, name)
 
 
 def tokenizer_path() -> str:

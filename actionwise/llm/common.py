@@ -6,11 +6,12 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import stage
 
+BATCH_ROWS = 1000  # rows handed to Python at once: texts and bitmaps are large
 CHUNK_BYTES = 1 << 20  # text handled at once inside a Python task
 
 _SPACE = np.zeros(256, bool)
@@ -23,6 +24,13 @@ _BYTES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype
 _powers: dict[int, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand fewer rows at once to Python in this session, unless it already asks for as few."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -31,16 +31,23 @@ from ..sources.tables import stage
 from .common import chunked, components, has_columns, likely_in, mix, shingles, words_of
 
 SKETCH = 1 << 17   # counters of the shingle sketch
-HEAVY = 4          # times the mean count from which a counter makes its shingles common
+HEAVY = 4          # deviations above the mean count from which a counter makes its shingles common
 TILE = 512         # sets in a side of a tile
 LEAST_BITS, MOST_BITS = 1024, 1 << 15
 
 
-def _sets(texts: pd.Series, size: int) -> Iterator[tuple[int, np.ndarray]]:
+def _runs(texts: pd.Series, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, shingles of each text) of consecutive texts."""
     for first, part in chunked(texts):
         words, at, _, _ = words_of(part)
-        for i in range(len(part)):
-            yield first + i, np.unique(shingles(words[at[i] : at[i + 1]], size))
+        every = shingles(words, size)
+        yield first, [every[b : e - size + 1] if e - b >= size else shingles(words[b:e], size) for b, e in zip(at[:-1], at[1:])]
+
+
+def _sets(texts: pd.Series, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    for first, runs in _runs(texts, size):
+        for i, run in enumerate(runs):
+            yield first + i, np.unique(run)
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -77,8 +84,8 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            for _, values in _sets(batch["text"], size):
-                np.add.at(total, (values >> np.uint64(47)).astype(np.int64), 1)
+            for _, runs in _runs(batch["text"], size):
+                total += np.bincount((np.concatenate(runs) >> np.uint64(47)).astype(np.int64), minlength=SKETCH)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"slot": at.astype(np.int32), "n": total[at]})
 
@@ -211,8 +218,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id reachable by links, itself included."""
     docs = has_columns(docs, ["doc_id", "text"])
     counts = _sketch(docs, size)
-    share = counts / max(counts.mean(), 1.0)
-    level = np.where(share >= HEAVY, np.floor(np.log2(np.maximum(share, 1.0))), 0).astype(np.int8)
+    mean = max(counts.mean(), 1.0)
+    above = (counts - mean) / np.sqrt(mean)
+    level = np.where(above >= HEAVY, np.floor(np.log2(np.maximum(above, 1.0))), 0).astype(np.int8)
     described = stage(_described(docs, size, percent, level), "jaccard_documents")
     some = described.filter("n > 0")
     reps = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from actionwise.llm import decontaminate, jaccard, mixing, quality
-from actionwise.llm.catalog import tokenizer_path
+from actionwise.llm.catalog import scan, tokenizer_path
 from actionwise.llm.tokens import written_report
-from actionwise.sources.tables import scan, stage
+from actionwise.sources.tables import stage
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
