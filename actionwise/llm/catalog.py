@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import scan as scan_table
-from . import decontaminate, jaccard, mixing, quality, tokens
+from . import decontaminate, jaccard, lines, mixing, neighbours, pages, quality, tokens
 from .common import small_batches
 
 
@@ -22,6 +23,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(scan(spark, sf_dir, "pages"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "labels"))
 
@@ -30,10 +35,20 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(scan(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.written_report(scan(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document and how many of them go; the digest is that of what is left."""
+    left = lines.without_repeats(scan(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(scan(spark, sf_dir, "documents"))
 
