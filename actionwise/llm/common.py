@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import stage
 
@@ -120,7 +121,12 @@ SIEVE_BITS = 1 << 23  # 1 MB, however many keys
 
 
 def likely_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key may be among `keys`, by a bit table of fixed size: fewer rows to shuffle for the join that follows.
+    """Rows whose key may be among `keys`: fewer rows to shuffle for the join that follows."""
+    return sieved(df, keys, key).filter("_in").drop("_in")
+
+
+def sieved(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows with `_in`: whether their key may be among `keys`, by a bit table of fixed size.
 
     The table is made by Spark's bitmap aggregate. With more keys it lets more rows pass, and never loses one.
     """
@@ -137,9 +143,11 @@ def likely_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
         for batch in batches:
             number = batch.column(batch.schema.get_field_index("_slot")).to_numpy(zero_copy_only=False)
             hit = (bits.value[number >> 3] >> (number & 7).astype(np.uint8)) & 1
-            yield batch.drop_columns(["_slot"]).filter(pa.array(hit.astype(bool)))
+            columns = batch.drop_columns(["_slot"])
+            yield pa.RecordBatch.from_arrays([*columns.columns, pa.array(hit.astype(bool))], names=[*columns.schema.names, "_in"])
 
-    return df.withColumn("_slot", slot).mapInArrow(sift, df.schema)
+    schema = T.StructType([*df.schema.fields, T.StructField("_in", T.BooleanType())])
+    return df.withColumn("_slot", slot).mapInArrow(sift, schema)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
