@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan as scan_table
-from . import decontaminate, jaccard, lines, mixing, neighbours, pages, quality, tokens
+from . import chains, decontaminate, jaccard, lines, mixing, neighbours, pages, quality, suffixes, tokens
 from .common import small_batches
 
 
@@ -31,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "labels"))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.repeated_passages(scan(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,11 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(scan(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.without_repeats(scan(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.written_report(scan(spark, sf_dir, "documents"), tokenizer_path())
 
