@@ -287,7 +287,7 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _decide(part: pd.DataFrame) -> pd.DataFrame:
-    """(d, h, spans) from the runs of a bucket: first and end of joined windows per document."""
+    """(d, h, first, end) from the runs of a bucket: spans of joined windows."""
     runs = []
     for r in part.itertuples():
         lengths, shared = np.frombuffer(r.lengths, np.uint8), np.frombuffer(r.shared, np.uint8)
@@ -313,28 +313,26 @@ def _decide(part: pd.DataFrame) -> pd.DataFrame:
     cut = np.flatnonzero(~(same & (rows[1:, 2] <= rows[:-1, 3]))) + 1
     begin = np.concatenate(([0], cut)) if len(rows) else np.empty(0, np.int64)
     end = np.maximum.reduceat(rows[:, 3], begin) if len(rows) else np.empty(0, np.int64)
-    out = pd.DataFrame({"d": rows[begin, 0], "h": rows[begin, 1], "first": rows[begin, 2], "end": end})
-    each = out.groupby(["d", "h"], sort=False)[["first", "end"]].apply(lambda g: g.to_numpy(np.int64).tobytes())
-    return each.rename("spans").reset_index() if len(out) else pd.DataFrame({"d": [], "h": [], "spans": []}).astype({"d": "int64", "h": "int64"})
+    return pd.DataFrame({"d": rows[begin, 0], "h": rows[begin, 1], "first": rows[begin, 2], "end": end})
 
 
-def joined_spans(parts: Sequence[bytes]) -> np.ndarray:
-    """Spans (first, end) that meet or overlap joined."""
-    rows = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in parts])
-    rows = rows[np.argsort(rows[:, 0], kind="stable")]
-    end = np.maximum.accumulate(rows[:, 1])
-    begin = np.concatenate(([0], np.flatnonzero(rows[1:, 0] > end[:-1]) + 1))
-    return np.column_stack((rows[begin, 0], np.append(end[begin[1:] - 1], end[-1])))
+def joined_spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Spans (first, end) with those that meet or overlap joined."""
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(end[order])
+    begin = np.concatenate(([0], np.flatnonzero(first[1:] > end[:-1]) + 1))
+    return np.column_stack((first[begin], np.append(end[begin[1:] - 1], end[-1])))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(d, h, parts) of documents (d, h, text) that lose bytes: parts hold spans, as pairs of 64-bit numbers."""
+    """(d, h, firsts, ends) of documents (d, h, text) that lose bytes: the spans, in any order."""
     buckets = max(docs.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     again = _counted(docs, buckets).groupBy("d", "h").agg(F.collect_list("ordinals").alias("ordinals"))
     again = stage(again, "suffix_anchors")
     sources = likely_in(docs, again, "d").join(again, ["d", "h"])
-    spans = _runs(sources.dropDuplicates(["d", "h"]), buckets).groupBy("bucket").applyInPandas(_decide, "d bigint, h bigint, spans binary")
-    return stage(spans.groupBy("d", "h").agg(F.collect_list("spans").alias("parts")), "suffix_spans")
+    spans = _runs(sources.dropDuplicates(["d", "h"]), buckets).groupBy("bucket").applyInPandas(_decide, "d bigint, h bigint, first bigint, end bigint")
+    spans = spans.groupBy("d", "h").agg(F.collect_list("first").alias("firsts"), F.collect_list("end").alias("ends"))
+    return stage(spans, "suffix_spans")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -342,15 +340,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     base = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NONE)).alias("d"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("h"))
     spans = repeated_spans(base.select("d", "h", "text"))
     split = sieved(base, spans, "d")
-    touched = split.filter("_in").join(spans, ["d", "h"], "left").select("doc_id", "text", "parts")
-    whole = split.filter("NOT _in").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("parts"))
+    touched = split.filter("_in").join(spans, ["d", "h"], "left").select("doc_id", "text", "firsts", "ends")
+    none = F.lit(None).cast("array<bigint>")
+    whole = split.filter("NOT _in").select("doc_id", "text", none.alias("firsts"), none.alias("ends"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, parts in zip(batch["text"], batch["parts"]):
+            for text, first, end in zip(batch["text"], batch["firsts"], batch["ends"]):
                 raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
-                gone = joined_spans(parts).tolist() if parts is not None and len(parts) else []
+                gone = joined_spans(np.asarray(first), np.asarray(end)).tolist() if first is not None else []
                 edges = [0, *(x for span in gone for x in span), len(raw)]
                 kept = b"".join(raw[b:e] for b, e in zip(edges[::2], edges[1::2]))
                 out.append((kept, len(raw), len(raw) - len(kept), len(gone)))
