@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import stage
 from .common import has_columns
 
-MOST_SHARED = 0.5   # share of unmarked text from which a pair counts as versions of one article
+MOST_SHARED = 0.8   # share of unmarked text from which a pair counts as versions of one article
 
 # fixed values: elements by their meaning in HTML
 DROPPED = frozenset("script style template noscript svg math iframe object embed canvas audio video map select datalist textarea button head title".split())
