@@ -18,22 +18,24 @@ def complete(columns: Iterable[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in columns) or "true"
 
 
-OCTAVES = 40   # scores below 2^-40 share a bucket
+OCTAVES = 40   # scores nearer to 0 than 2^-40 share a bucket, as do those beyond 2^40
 STEPS = 1024   # buckets per octave
 
 
-def clipped(score: Column) -> Column:
-    """Score limited to [0, 1]; NULL counts as 0, NaN as 1."""
-    return F.greatest(F.least(F.coalesce(score, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+def finite(score: Column) -> Column:
+    """Score as a finite double; NULL counts as the lowest, NaN as the highest."""
+    top = F.lit(1.7e308)
+    return F.greatest(F.least(F.coalesce(score.cast("double"), -top), top), -top)
 
 
 def score_bucket(score: Column, steps: int = STEPS) -> Column:
-    """Bucket number, monotone in the score and below OCTAVES x steps + 2.
+    """Bucket number, monotone in the score, between -(2 OCTAVES + 1) steps and (2 OCTAVES + 1) steps.
 
-    Buckets have equal relative width, so the small scores of rare actions spread over many buckets too.
+    Buckets have equal relative width on both sides of 0, so that scores of any scale spread over many buckets.
     """
-    p = clipped(score)
-    octave = F.greatest(F.floor(F.log2(p)), F.lit(-OCTAVES))
-    step = F.floor((p * F.pow(F.lit(2.0), -octave) - 1) * steps)
-    inside = 1 + (octave + OCTAVES) * steps + F.greatest(F.least(step, F.lit(steps - 1)), F.lit(0))
-    return F.when(p <= 0, 0).when(p >= 1, OCTAVES * steps + 1).otherwise(inside).cast("int")
+    p = finite(score)
+    size = F.least(F.greatest(F.abs(p), F.lit(2.0**-OCTAVES)), F.lit(2.0**OCTAVES))
+    octave = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-OCTAVES)), F.lit(OCTAVES))
+    step = F.floor((size * F.pow(F.lit(2.0), -octave) - 1) * steps)
+    place = 1 + (octave + OCTAVES) * steps + F.greatest(F.least(step, F.lit(steps - 1)), F.lit(0))
+    return F.when(F.abs(p) < 2.0**-OCTAVES, 0).when(p > 0, place).otherwise(-place).cast("int")

@@ -3,7 +3,7 @@
 A decile is decided by at most nine cut rows: the last user of each tile in the order (score, hash of the key, key).
 The cuts are found by narrowing down. Each step counts users with map-side combine, and keeps the places that hold a cut:
 
-1. buckets of the score, a histogram of bounded size;
+1. buckets of the score, a histogram of bounded size for scores of any scale and sign;
 2. equal parts of the score range found in such a bucket, so that scores crowded into a narrow range spread out;
 3. exact score and hash range inside such a part, so that users with one and the same score, however many, spread out;
 4. the users of such a cell, numbered, give the cut rows.
@@ -11,9 +11,8 @@ The cuts are found by narrowing down. Each step counts users with map-side combi
 Every user then gets 1 + the number of cuts below, a narrow expression: the scored table keeps its partitioning.
 The result equals ``ntile(tiles) OVER (ORDER BY score NULLS FIRST, hash, key)``.
 
-The steps read their input again each time, so it should be a stored table rather than a long computation.
-
-Up to SMALL_ROWS users, checked by counting no further than that, a plain ntile window is cheaper and gives the same tiles.
+The first two steps read their input, so it should be a stored table rather than a long computation. What they leave, the users near a cut, is
+written once for the others.
 """
 
 from __future__ import annotations
@@ -23,11 +22,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clipped, score_bucket
+from ..functions.exprs import finite, score_bucket
 from ..functions.hashing import HASH_RANGE, hash32, hash32_sql
+from ..sources.tables import stage
 from ..specs import KEY, ActionSpec
 
-SMALL_ROWS = 500_000   # up to here one task sorts the users of an action
 PARTS = 16384        # equal parts a bucket is cut into
 HASH_RANGES = 4096   # hash ranges that split users with the same score
 NULL_SCORE = float("-inf")
@@ -61,7 +60,7 @@ def tile_cuts(scores: DataFrame, actions: Sequence[str], tiles: int = 10) -> Dat
     """
     rows = scores.select(
         _group, KEY, F.coalesce(F.col("p").cast("double"), F.lit(NULL_SCORE)).alias("p")
-    ).withColumns({"bucket": score_bucket(F.col("p")), "c": clipped(F.col("p"))})
+    ).withColumns({"bucket": score_bucket(F.col("p")), "c": finite(F.col("p")) / 2})
 
     bucket = [_group, "bucket"]
     counts = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
@@ -81,6 +80,7 @@ def tile_cuts(scores: DataFrame, actions: Sequence[str], tiles: int = 10) -> Dat
     nearer = near.join(F.broadcast(in_part.select(*part)), part, "left_semi")
     nearer = nearer.withColumn("h", F.coalesce(hash32(KEY), F.lit(0)))
     nearer = nearer.withColumn("hash_range", F.expr(f"coalesce(h div {HASH_RANGE // HASH_RANGES}, 0)"))
+    nearer = stage(nearer.drop("c", "low", "high"), "near_cuts")
     in_cell = _locate(nearer, in_part, part, ["p", "hash_range"])
 
     place = F.row_number().over(Window.partitionBy(*cell).orderBy("h", KEY)).cast("bigint")
@@ -104,15 +104,6 @@ def tile_of(score: str, cuts: str, tiles: int) -> Column:
     return F.expr(f"1 + CASE WHEN array_contains({cuts}.p, {p}) THEN {exact} ELSE {plain} END")
 
 
-def window_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
-    """Deciles by one ordered window per action: for few users only."""
-    df = df.withColumn("_h", hash32(KEY))
-    for a in actions:
-        order = Window.partitionBy(a.scored).orderBy(F.col(a.probability).asc_nulls_first(), "_h", KEY)
-        df = df.withColumn(a.decile, F.when(F.col(a.scored), F.ntile(tiles).over(order)).otherwise(0).cast("int"))
-    return df.drop("_h")
-
-
 def cut_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
     """Deciles by cut rows: for any number of users. All actions share the same passes."""
     long = df.select(
@@ -141,21 +132,17 @@ def cut_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -
     )
 
 
-def with_deciles(
-    df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10, small_rows: int = SMALL_ROWS
-) -> DataFrame:
+def with_deciles(df: DataFrame, actions: Sequence[ActionSpec], tiles: int = 10) -> DataFrame:
     """Add the decile column of every action to a wide score table (id, probabilities, scored markers).
 
     Users without a real score (`scored` is false) take no part and get 0.
     """
-    # no further than one row past the limit, and without reading a column
-    small = small_rows > 0 and df.limit(small_rows + 1).count() <= small_rows
-    return (window_deciles if small else cut_deciles)(df, actions, tiles)
+    return cut_deciles(df, actions, tiles)
 
 
-def score_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10, small_rows: int = SMALL_ROWS) -> DataFrame:
+def score_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10) -> DataFrame:
     """Deciles of one action over all rows, 10 = most likely."""
-    return with_deciles(df.withColumn(action.scored, F.lit(True)), [action], tiles, small_rows).drop(action.scored)
+    return with_deciles(df.withColumn(action.scored, F.lit(True)), [action], tiles).drop(action.scored)
 
 
 def approx_deciles(df: DataFrame, action: ActionSpec, tiles: int = 10, accuracy: int = 1000) -> DataFrame:

@@ -48,8 +48,3 @@ def profile(df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] =
     fields = "'column', '{c}', 'n', count(v), 'mean', avg(v), 'stddev', stddev(v), 'min', min(v), 'max', max(v)" + more
     stats = [f"named_struct({fields})".replace("{c}", c).replace("(v", f"(double({c})") for c in columns]
     return df.selectExpr(f"array({', '.join(stats)}) AS stats").select(F.inline("stats"))
-
-
-def summary(df: DataFrame) -> DataFrame:
-    """Spark's own summary: all statistics as text."""
-    return df.summary()

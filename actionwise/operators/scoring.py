@@ -132,9 +132,14 @@ def score_actions(users: DataFrame, actions: Sequence[ActionSpec], scorers: Mapp
     return wide.selectExpr("*", *[f"{mark} AS {name}" for name, mark in marks.items()]).selectExpr(*out)
 
 
+def flipped_flag(rule: ActionSpec) -> Column:
+    """The flag of a business rule turned round: 1 = not done yet, show it."""
+    return F.when(F.col(rule.flag) == 0, F.lit(1)).otherwise(F.lit(0)).alias(rule.flag)
+
+
 def binary_decisioning(users: DataFrame, rules: Sequence[ActionSpec]) -> DataFrame:
-    """Flip the business flags: 1 = not done yet, show it."""
-    return users.select(KEY, *[F.when(F.col(a.flag) == 0, F.lit(1)).otherwise(F.lit(0)).alias(a.flag) for a in rules])
+    """The flags of all business rules, flipped."""
+    return users.select(KEY, *map(flipped_flag, rules))
 
 
 def gather_scores(users: DataFrame, long: DataFrame, actions: Sequence[ActionSpec]) -> DataFrame:

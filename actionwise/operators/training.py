@@ -103,25 +103,35 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Feat
     )
 
 
-def permutation_importance(
-    model: PipelineModel, test: DataFrame, features: FeatureSpec, groups: int | None = None, seed: int = 7
-) -> DataFrame:
+RANGES = 4096  # hash ranges in which rows are put in order
+
+
+def permuted_features(test: DataFrame, features: FeatureSpec, seed: int = 7) -> DataFrame:
+    """Add `_next_<feature>`: the values of the next user in the order (hash, key); the last one gets the first one's.
+
+    Users are put in order inside fixed ranges of the hash. The last one of a range takes the first one of the next range that has users, from
+    a table of one row per range. The result depends on the keys and the seed alone.
+    """
+    names = features.columns
+    place = F.struct("_order", KEY)
+    ordered = test.withColumn("_order", hash32(KEY, seed + 1)).withColumn("_range", F.expr(f"_order div {2**32 // RANGES}"))
+    heads = ordered.groupBy("_range").agg(F.min_by(F.struct(*names), place).alias("head"))
+    along = Window.orderBy("_range")
+    first = F.first("head").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    follow = heads.select("_range", F.coalesce(F.lead("head").over(along), first).alias("_follow"))
+    inside = Window.partitionBy("_range").orderBy("_order", KEY)
+    shifted = ordered.withColumn("_lead", F.lead(F.struct(*names)).over(inside)).join(follow, "_range")
+    shifted = shifted.withColumn("_lead", F.coalesce("_lead", "_follow"))
+    return shifted.withColumns({f"_next_{c}": F.col("_lead")[c] for c in names}).drop("_lead", "_follow", "_range", "_order")
+
+
+def permutation_importance(model: PipelineModel, test: DataFrame, features: FeatureSpec, seed: int = 7) -> DataFrame:
     """(feature, auc, auc_drop): how much AUC falls when one feature is shuffled among the users.
 
-    Users fall into hash groups and are put in hash order there; a feature is shuffled by giving each user the value of
-    the next one in that order (the last gets the first). The groups are random subsets, as many as there are shuffle
-    partitions unless given, so no task sees all rows. All features are scored in one pass over rows tagged with the
-    feature that was shuffled.
+    A feature is shuffled by giving each user the value of the next one in hash order. All features are scored in one pass over rows
+    tagged with the feature that was shuffled: as many copies of a test row as there are features, and one more.
     """
-    groups = groups or int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    group = F.pmod(hash32(KEY, seed), F.lit(groups))
-    tagged = test.withColumns({"_group": group, "_order": hash32(KEY, seed + 1)})
-    order = Window.partitionBy("_group").orderBy("_order", KEY)
-    last = F.lead(F.lit(1)).over(order).isNull()
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shifted = tagged.withColumns(
-        {f"_next_{c}": F.when(last, F.first(c).over(so_far)).otherwise(F.lead(c).over(order)) for c in features.columns}
-    )
+    shifted = permuted_features(test, features, seed)
     variants = F.array(F.lit("none"), *[F.lit(c) for c in features.columns])
     shuffled = shifted.withColumn("feature", F.explode(variants)).withColumns(
         {c: F.when(F.col("feature") == c, F.col(f"_next_{c}")).otherwise(F.col(c)) for c in features.columns}

@@ -11,7 +11,7 @@ from ..operators import cleaning, deciles, distributions, metrics, population, r
 from ..sources.registry import latest_models
 from ..sources.tables import scan, stage
 from ..sources.tables import survivability_table as modifier_table
-from ..specs import KEY, TrainSpec, model_actions, scored_actions
+from ..specs import KEY, FeatureSpec, TrainSpec, model_actions, scored_actions
 from . import starschema as star
 from .deploy import user_level_scores as score_table
 from .targets import training_population
@@ -313,6 +313,15 @@ def permutation_importance(spark, sf):
     return training.permutation_importance(_model(train), test, RECURRING.features)
 
 
+@query
+def permuted_features(spark, sf):
+    """What shuffling gives each user: the numbers of the next user in hash order."""
+    users = star.load_profile(spark, sf).filter("n_orders > 0")
+    names = ("acctbal", "n_orders", "recency_days", "tenure_days")
+    shifted = training.permuted_features(users.select(KEY, *names), FeatureSpec((), names))
+    return shifted.select(KEY, *[F.col(f"_next_{c}").alias(c) for c in names])
+
+
 # --- scoring ---------------------------------------------------------------------------------------------------------
 
 
@@ -340,8 +349,8 @@ def score_deciles(spark, sf):
 
 @query
 def score_deciles_by_cuts(spark, sf):
-    """The way deciles are computed for many users."""
-    return deciles.score_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING, small_rows=0)
+    """The same: there is one way for any number of users."""
+    return deciles.score_deciles(_recurring_scored(star.load_profile(spark, sf)), RECURRING)
 
 
 @query
@@ -373,7 +382,7 @@ def user_level_scores(spark, sf):
 
 @query
 def user_level_scores_by_cuts(spark, sf):
-    return score_table(_all_scored(spark, sf), star.ACTIONS, small_rows=0)
+    return score_table(_all_scored(spark, sf), star.ACTIONS)
 
 
 @query

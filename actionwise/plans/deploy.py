@@ -10,23 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import vendor_rename
-from ..operators.deciles import SMALL_ROWS, with_deciles
+from ..operators.deciles import with_deciles
 from ..operators.population import duplicate_keys
 from ..operators.ranking import rank_actions
-from ..operators.scoring import Scorer, model_scorer, score_actions
+from ..operators.scoring import Scorer, flipped_flag, model_scorer, score_actions
 from ..sources.registry import latest_uris, load_model
 from ..sources.tables import stage, write_snapshot
 from ..specs import KEY, ActionSpec, model_actions, scored_actions
 from .train import coded_features
 
 
-def user_level_scores(
-    scores: DataFrame, actions: Sequence[ActionSpec], small_rows: int = SMALL_ROWS
-) -> DataFrame:
+def user_level_scores(scores: DataFrame, actions: Sequence[ActionSpec]) -> DataFrame:
     """Output of `score_actions` to the score table: flipped business flags, and probability, prediction and decile
     of each action."""
-    ranked = with_deciles(scores, scored_actions(actions), small_rows=small_rows)
-    flags = [F.when(F.col(a.flag) == 0, F.lit(1)).otherwise(F.lit(0)).alias(a.flag) for a in actions if a.is_rule]
+    ranked = with_deciles(scores, scored_actions(actions))
+    flags = [flipped_flag(a) for a in actions if a.is_rule]
     columns = [c for a in scored_actions(actions) for c in (a.probability, a.prediction, a.decile)]
     return ranked.select(KEY, *flags, *columns)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date
 
@@ -44,18 +43,12 @@ def survivability_table(spark: SparkSession, modifiers: dict[str, float] = MODIF
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediates: the one the cluster names; a temporary one in local mode only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder and not spark.sparkContext.getCheckpointDir():
+    """Shared folder for intermediates: the one the cluster names in spark.checkpoint.dir, else one below the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
-    folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="actionwise-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

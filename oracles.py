@@ -301,6 +301,12 @@ def oracles() -> dict[str, str]:
     out["recall_by_threshold"] = curves + "SELECT action, threshold, tp / p_all AS recall FROM curves"
     out["precision_by_threshold"] = curves + "SELECT action, threshold, tp / (tp + fp) AS precision FROM curves"
 
+    order = f"OVER (ORDER BY {_hash('id', 8)}, id)"
+    moved = ", ".join(
+        f"coalesce(lead({c}) {order}, first({c}) {order}) AS {c}" for c in ("acctbal", "n_orders", "recency_days", "tenure_days")
+    )
+    out["permuted_features"] = profile + f"SELECT id, {moved} FROM profile WHERE n_orders > 0"
+
     scorable = f"{FLAG} = 0 AND {_complete('share_urgent')}"
     out["scorable_users"] = profile + f"SELECT id, {_cols(MODEL_FEATURES)} FROM profile WHERE {scorable}"
     out["unscored_users"] = profile + f"SELECT id FROM profile WHERE NOT ({scorable})"

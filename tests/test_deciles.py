@@ -23,7 +23,7 @@ def frame(spark, scores):
 
 
 def mismatches(df, tiles=10):
-    got = deciles.score_deciles(df, ACTION, tiles, small_rows=0)
+    got = deciles.score_deciles(df, ACTION, tiles)
     want = df.withColumn("want", F.ntile(tiles).over(Window.orderBy(F.col(P).asc_nulls_first(), hash32("id"), "id")))
     return got.join(want.select("id", "want"), "id").filter(F.col("want") != F.col(D)).count()
 
@@ -44,6 +44,10 @@ SHAPES = {
     "nulls": lambda rng: [None if rng.random() < 0.4 else rng.random() for _ in range(2000)],
     "ends": lambda rng: [rng.choice([0.0, 1.0, 0.0, -0.5, 1.5]) for _ in range(500)],
     "nan": lambda rng: [rng.choice([0.3, float("nan"), 0.9]) for _ in range(200)],
+    "margins": lambda rng: [rng.uniform(1, 6) for _ in range(3000)],
+    "negative": lambda rng: [-(rng.random() ** 6) * 1e5 for _ in range(3000)],
+    "both signs": lambda rng: [rng.gauss(0, 3) for _ in range(3000)],
+    "infinite": lambda rng: [rng.choice([float("inf"), float("-inf"), 2.5, -1e300]) for _ in range(300)],
     "seven users": lambda rng: [rng.random() for _ in range(7)],
     "one user": lambda rng: [0.4],
     "23 users": lambda rng: [rng.choice([0.1, 0.2, 0.3, 0.4, 0.5]) for _ in range(23)],
@@ -87,23 +91,17 @@ def test_any_scores(spark, scores):
 
 
 def test_empty_input(spark):
-    for small_rows in (0, 10):
-        nobody = frame(spark, [0.1]).filter("id < 0")
-        assert deciles.score_deciles(nobody, ACTION, small_rows=small_rows).count() == 0
+    assert deciles.score_deciles(frame(spark, [0.1]).filter("id < 0"), ACTION).count() == 0
 
 
-def test_both_ways_agree(spark):
-    df = frame(spark, third_is_hot(random.Random(8), 400))
-    few = deciles.score_deciles(df, ACTION, small_rows=400)
-    many = deciles.score_deciles(df, ACTION, small_rows=399)
-    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (few, many)]
-    assert "ntile" in plans[0] and "ntile" not in plans[1]
-    assert sorted(few.collect()) == sorted(many.collect())
+def test_no_window_over_users(spark):
+    plan = deciles.score_deciles(frame(spark, third_is_hot(random.Random(8), 400)), ACTION)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ntile" not in plan
 
 
 def test_same_for_any_partitioning(spark):
     df = frame(spark, third_is_hot(random.Random(2), 2000))
-    results = [sorted(deciles.score_deciles(df.repartition(n), ACTION, small_rows=0).select("id", D).collect()) for n in (1, 8)]
+    results = [sorted(deciles.score_deciles(df.repartition(n), ACTION).select("id", D).collect()) for n in (1, 8)]
     assert results[0] == results[1]
 
 

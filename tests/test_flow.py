@@ -168,6 +168,18 @@ def test_permutation_importance_finds_the_signal(spark):
     assert got["signal"] > 0.3 and abs(got["noise"]) < 0.1
 
 
+@pytest.mark.parametrize("rows", [1, 60])
+def test_permutation_does_not_depend_on_the_session(spark, rows):
+    spec = FeatureSpec((), ("a", "b"))
+    df = spark.range(rows).select("id", (F.col("id") * 2).alias("a"), (F.col("id") % 7).alias("b"))
+    before, results = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in (1, 4, 200, 2000):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        results.append(sorted(training.permuted_features(df.repartition(3), spec).select("id", "_next_a", "_next_b").collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(r == results[0] for r in results) and sorted(r["_next_a"] for r in results[0]) == [2 * i for i in range(rows)]
+
+
 def test_grid_has_all_points():
     from actionwise.specs import TrainSpec
 

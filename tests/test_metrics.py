@@ -9,9 +9,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.mllib.evaluation import BinaryClassificationMetrics
 from pyspark.sql import functions as F
 
-from actionwise.functions.exprs import OCTAVES, STEPS, score_bucket
+from actionwise.functions.exprs import OCTAVES, STEPS, finite, score_bucket
 from actionwise.operators import metrics
-from actionwise.operators.cumulative import running_totals
+from actionwise.operators.cumulative import PARTS, running_totals
 
 POINTS = [(0.9, 1), (0.8, 0), (0.7, 1), (0.2, 0), (0.7, 0)]
 
@@ -144,4 +144,18 @@ def test_buckets_are_monotone(spark):
     values = sorted([0.0, -1.0, 2.0, 5e-324, *edges, *[rng.random() ** rng.choice([1, 5, 30]) for _ in range(3000)]])
     df = spark.createDataFrame([(v,) for v in values], "p double").select("p", score_bucket(F.col("p")).alias("b"))
     buckets = [r["b"] for r in sorted(df.collect(), key=lambda r: r["p"])]
-    assert buckets == sorted(buckets) and min(buckets) == 0 and max(buckets) <= OCTAVES * STEPS + 1
+    assert buckets == sorted(buckets) and min(buckets) == -(OCTAVES * STEPS + 1) and max(buckets) <= (2 * OCTAVES + 1) * STEPS
+
+
+@pytest.mark.parametrize("shape", ["narrow", "margin", "negative"])
+def test_no_hot_part(spark, shape):
+    """Of 200,000 scores, no ordered window holds more than a small share, whatever their scale."""
+    score = {"narrow": "0.5 + rand(1) * 1e-4", "margin": "1 + 5 * rand(1)", "negative": "-1000 * rand(1)"}[shape]
+    points = metrics.score_points(spark.range(200_000).selectExpr(f"{score} AS score", "cast(id % 2 as int) AS target"))
+    out = running_totals(points, ["pos", "neg"])
+    assert out.agg(F.max("pos_to"), F.max("neg_to")).first() == (100_000, 100_000)
+    value = finite(F.col("score"))
+    cut = points.withColumns({"b": score_bucket(F.col("score")), "v": value})
+    ends = cut.groupBy("b").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    part = F.floor(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")) * PARTS)
+    assert cut.join(ends, "b").groupBy("b", part).count().agg(F.max("count")).first()[0] < 10_000

@@ -80,7 +80,7 @@ def test_deciles_keep_the_table_in_place(spark):
     """The scored users are only scanned and projected; exchanges and windows occur in the subquery of the cuts."""
     action = ACTIONS[2]
     df = stage(spark.range(1000).select("id", F.rand(1).alias(action.probability)), "scores")
-    plan = deciles.score_deciles(df, action, small_rows=0)._jdf.queryExecution().executedPlan().inputPlan()
+    plan = deciles.score_deciles(df, action)._jdf.queryExecution().executedPlan().inputPlan()
     nodes = []
     while True:
         nodes.append(plan.nodeName())
@@ -159,21 +159,25 @@ def test_bucketed_snapshots_join_without_shuffle(spark, shuffle_joins):
     assert "Exchange" not in plan_of(joined) and joined.count() == 100
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster():
+def test_staging_folder():
+    """The folder the cluster names; else one below the warehouse, never a machine's own temporary folder."""
     from actionwise.sources.tables import staging_dir
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
+    class Conf(dict):
+        pass
 
     class Context:
-        master = "yarn"
+        folder = None
 
         def getCheckpointDir(self):
-            return None
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
 
     class Session:
-        conf, sparkContext = Conf(), Context()
+        def __init__(self, **conf):
+            self.conf, self.sparkContext = Conf(conf), Context()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging_dir(Session())
+    assert staging_dir(Session(**{"spark.checkpoint.dir": "hdfs://x/ck/", "spark.sql.warehouse.dir": "hdfs://x/w"})) == "hdfs://x/ck"
+    assert staging_dir(Session(**{"spark.sql.warehouse.dir": "hdfs://x/w/"})) == "hdfs://x/w/_staging"

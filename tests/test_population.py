@@ -135,7 +135,7 @@ def test_drift(spark):
 def test_profile_and_summary_agree(spark):
     df = spark.range(101).select((F.col("id") / 100).alias("p"), F.col("id").alias("q"))
     rows = {r["column"]: r for r in distributions.profile(df, ["p", "q"], quantiles=[0.25, 0.5, 0.75]).collect()}
-    text = {r["summary"]: r for r in distributions.summary(df).collect()}
+    text = {r["summary"]: r for r in df.summary().collect()}
     for c in ("p", "q"):
         assert rows[c]["n"] == 101
         for ours, theirs in (("mean", "mean"), ("stddev", "stddev"), ("min", "min"), ("max", "max")):

@@ -19,8 +19,8 @@ QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("customer", "orders", "lineitem"):
-        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{BASE}/{table}.parquet'")
+    for path in Path(BASE).glob("*.parquet"):
+        con.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     yield con
     con.close()
 
