@@ -79,16 +79,15 @@ def neighbourhood(lines: DataFrame) -> DataFrame:
     return itself.unionByName(letters).unionByName(gaps)
 
 
-def near_repeats(lines: DataFrame, firsts: DataFrame, least: int = LEAST) -> DataFrame:
+def near_repeats(lines: DataFrame, least: int = LEAST) -> DataFrame:
     """(k1, k2) of different lines that have an earlier line one edit away."""
     long = lines.withColumn("n", F.length("line")).filter(F.col("n") >= least)
     keyed = long.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1)), "at": F.struct("doc_id", "place")})
-    # one row of each different line: the first
-    once = keyed.join(firsts, (keyed.k1 == firsts.k1) & (keyed.k2 == firsts.k2) & keyed.at.eqNullSafe(firsts["first"])).select(keyed.k1, keyed.k2, "first", "n", "line")
-    once = stage(once.dropDuplicates(["k1", "k2"]), "different_lines")
-    halves = half_keys(once).select("k1", "k2", "half").distinct()
+    halves = half_keys(keyed).select("k1", "k2", "half").distinct()
     shared = halves.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("half"))).filter("m > 1").select("k1", "k2").distinct()
-    likely = stage(once.join(shared, ["k1", "k2"]), "likely_lines")
+    # the texts move once, and only here
+    once = keyed.join(shared, ["k1", "k2"]).groupBy("k1", "k2")
+    likely = stage(once.agg(F.min("at").alias("first"), F.first("n").alias("n"), F.first("line").alias("line")), "likely_lines")
 
     met = Window.partitionBy("x", "length")
     own = F.col("word") < 0
@@ -108,7 +107,7 @@ def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc_id, place) of lines that go."""
     lines = lines_of(has_columns(docs, ["doc_id", "text"]))
     firsts = stage(distinct_lines(lines), "line_firsts")
-    near = near_repeats(lines, firsts, least).withColumn("near", F.lit(True))
+    near = near_repeats(lines, least).withColumn("near", F.lit(True))
     known = firsts.join(near, ["k1", "k2"], "left")
     all_lines = lines.select("doc_id", "place", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
     gone = F.col("near").isNotNull() | (F.struct("doc_id", "place") > F.col("first"))
