@@ -175,9 +175,7 @@ def _tiles(rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> Dat
     tiles = placed.select("token", "set_key", "n", "component", "bits", "block", other)
     tiles = tiles.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
 
-    def cross(part: pd.DataFrame) -> np.ndarray:
-        n, key, comp, block, raw = (part[c].to_numpy() for c in ("n", "set_key", "component", "block", "bits"))
-        i, j = part["i"].iat[0], part["j"].iat[0]
+    def cross(one_block: bool, n: np.ndarray, key: np.ndarray, comp: np.ndarray, block: np.ndarray, raw: np.ndarray) -> np.ndarray:
         length = np.fromiter(map(len, raw), np.int64, len(raw))
         out = []
         for width in np.unique(length):  # sets of similar size have bitmaps of the same width, or of twice that
@@ -186,29 +184,35 @@ def _tiles(rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> Dat
             for at in np.flatnonzero(length[band] == width):
                 x = band[at]
                 near = (comp[band] != comp[x]) & (100 * np.minimum(n[x], n[band]) >= percent * np.maximum(n[x], n[band]))
-                near &= ((length[band] > width) | (band > x)) & ((i == j) | (block[band] != block[x]))
+                near &= ((length[band] > width) | (band > x)) & (one_block | (block[band] != block[x]))
                 y = np.flatnonzero(near)
+                if not len(y):
+                    continue
                 differ = np.bitwise_count(bits[y] ^ bits[at]).sum(axis=1, dtype=np.int64)
                 fit = (100 + percent) * differ <= (100 - percent) * (n[band[y]] + n[x])
                 y = band[y[fit]]
                 if nearest and len(y):
                     y = y[[differ[fit].argmin()]]
-                out.append(np.column_stack((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]))))
-        return np.concatenate(out)
+                if len(y):
+                    out.append(np.column_stack((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]))))
+        return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            tile = batch[["token", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((tile[1:] != tile[:-1]).any(axis=1)) + 1
-            ends = [0, *cuts]
-            found = [cross(batch.iloc[b:e]) for b, e in zip(ends, cuts)]
+            *tile, n, key, comp, block, raw = (batch[c].to_numpy() for c in ("token", "i", "j", "n", "set_key", "component", "block", "bits"))
+            cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in tile], axis=0)) + 1
+            ends = [0, *cuts.tolist()]
+            one_block = tile[1] == tile[2]
+            # most tiles hold a few sets: they are cut from the arrays of the batch
+            found = [cross(bool(one_block[b]), *(c[b:e] for c in (n, key, comp, block, raw))) for b, e in zip(ends, ends[1:])]
             if found:
                 yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
             rest = batch.iloc[ends[-1] :]  # a tile that may go on in the next batch: 2 TILE rows at most
         if rest is not None and len(rest):
-            yield pd.DataFrame(cross(rest), columns=["a", "b"])
+            last = (rest[c].to_numpy() for c in ("n", "set_key", "component", "block", "bits"))
+            yield pd.DataFrame(cross(rest["i"].iat[0] == rest["j"].iat[0], *last), columns=["a", "b"])
 
     sorted_tiles = tiles.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "block", "n", "set_key")
     return sorted_tiles.mapInPandas(look, "a bigint, b bigint").distinct()
