@@ -17,6 +17,8 @@ their own. Extra columns take no part. Of an empty table, the file set holds no
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -34,7 +36,7 @@ LOW = 1 << 31          # states stay in [LOW, LOW << 32)
 LANES = 256            # interleaved states of a block
 BLOCK_TOKENS = 1 << 16
 CHECK_STEPS = 64       # steps of all lanes between checkpoints
-WORDS_KEPT = 200_000   # words a task remembers the ids of
+WORDS_KEPT = 200_000   # words a task remembers the ids of, and as many older ones
 
 BLOCKS = "seq bigint, doc_ids array<bigint>, tokens array<bigint>, payload binary, words array<int>, states binary, crc bigint"
 
@@ -43,8 +45,18 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+# fixed values: how the tokenizer file cuts words, and the same for PLAIN words in lower case
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+PLAIN = re.compile(r"[!-~À-ÿ]+")
+
+
 class WordIds(dict):
-    """Ids of a word as little-endian text of 2 or 4 bytes each. Words are cut at blanks and line feeds, where this tokenizer's tokens end too."""
+    """Ids of a word as little-endian text of 2 or 4 bytes each. Words are cut at blanks and line feeds, where this tokenizer's tokens end too.
+
+    Where the tokenizer cuts by PATTERN, words of printable ASCII and Latin letters with accents are put together from their pieces, of which there are far fewer. When
+    full, the table becomes `older`, from which words still in use come back.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,10 +64,26 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_type(self.tokenizer.get_vocab_size())
+        rules = json.loads(self.tokenizer.to_str())
+        kinds = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
+        cuts = [x.get("pattern") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_pieces = kinds == ["NFC", "Replace", "Lowercase"] and cuts == [{"Regex": PATTERN}, None]
+        self.special = [t["content"] for t in rules["added_tokens"]]
+        self.older: dict[str, bytes] = {}
+
+    def _encoded(self, word: str) -> bytes:
+        if self.by_pieces and PLAIN.fullmatch(word) and not any(t in word for t in self.special):
+            pieces = PIECES.findall(word.lower())
+            if pieces != [word]:
+                return b"".join([self[p] for p in pieces])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes() if word else b""
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes() if word else b""
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._encoded(word)
         if len(self) >= WORDS_KEPT:
+            self.older = dict(self)
             self.clear()
         if len(word) <= 64:
             self[word] = ids

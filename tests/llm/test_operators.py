@@ -437,3 +437,19 @@ def test_queries_are_complete(spark):
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
     assert set(catalog.oracles()) <= set(names)
     assert F is not None
+
+
+def test_word_ids_equal_the_tokenizer():
+    """Words put together from pieces have the ids that the tokenizer gives the whole text."""
+    import random
+
+    from actionwise.llm.catalog import tokenizer_path
+
+    known = tokens.WordIds(tokenizer_path())
+    assert known.by_pieces
+    draw = random.Random(1)
+    signs = "aSstTdD'''!?09 \t\n\r\x1c<|>éÉ́×÷ßÿÞªº¹ñ中²_-Llve"
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 60))) for _ in range(2000)]
+    texts += ["", "<|endoftext|>x", "a<|STARTOFTEXT|>", "it'S don'T I'LL 'ts ''s !'s", "".join(map(chr, range(0xC0, 0x180)))]
+    for text in texts:
+        assert tokens.numbers(known.text(text), known.kind == "<u4").tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
