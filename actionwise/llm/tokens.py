@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ LOW = 1 << 31          # states stay in [LOW, LOW << 32)
 LANES = 256            # interleaved states of a block
 BLOCK_TOKENS = 1 << 16
 CHECK_STEPS = 64       # steps of all lanes between checkpoints
-WORDS_KEPT = 200_000   # words a task remembers the ids of, and as many older ones
+WORDS_KEPT = 400_000   # words a Python worker remembers the ids of, and as many older ones
 
 BLOCKS = "seq bigint, doc_ids array<bigint>, tokens array<bigint>, payload binary, words array<int>, states binary, crc bigint"
 
@@ -45,17 +47,18 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-# fixed values: how the tokenizer file cuts words, and the same for PLAIN words in lower case
+# fixed values: how the tokenizer file cuts words, and the same for PLAIN texts in lower case
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
-PLAIN = re.compile(r"[!-~À-ÿ]+")
+PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+")
+PLAIN = re.compile(r"[\t\n\r -~À-ÿ]*")
 
 
 class WordIds(dict):
-    """Ids of a word as little-endian text of 2 or 4 bytes each. Words are cut at blanks and line feeds, where this tokenizer's tokens end too.
+    """Ids of a word as little-endian text of 2 or 4 bytes each. Texts are cut at blanks and line feeds, where this tokenizer's tokens end too.
 
-    Where the tokenizer cuts by PATTERN, words of printable ASCII and Latin letters with accents are put together from their pieces, of which there are far fewer. When
-    full, the table becomes `older`, from which words still in use come back.
+    Where the tokenizer cuts by PATTERN, texts of printable ASCII and Latin letters with accents are cut into pieces here, and only
+    new pieces go to the tokenizer's model (`pieces`); other texts are cut into words, and new words go through the whole tokenizer. A
+    full table becomes `older`, from which what is still in use comes back.
     """
 
     def __init__(self, path: str):
@@ -63,41 +66,72 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = id_type(self.tokenizer.get_vocab_size())
+        size = self.tokenizer.get_vocab_size()
+        self.kind, self.code = id_type(size), "H" if id_type(size) == "<u2" else "I"
         rules = json.loads(self.tokenizer.to_str())
         kinds = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
         cuts = [x.get("pattern") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.by_pieces = kinds == ["NFC", "Replace", "Lowercase"] and cuts == [{"Regex": PATTERN}, None]
         self.special = [t["content"] for t in rules["added_tokens"]]
         self.older: dict[str, bytes] = {}
-
-    def _encoded(self, word: str) -> bytes:
-        if self.by_pieces and PLAIN.fullmatch(word) and not any(t in word for t in self.special):
-            pieces = PIECES.findall(word.lower())
-            if pieces != [word]:
-                return b"".join([self[p] for p in pieces])
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes() if word else b""
+        self.pieces = PieceIds(self.tokenizer.model, self.code) if self.by_pieces else None
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            ids = self._encoded(word)
-        if len(self) >= WORDS_KEPT:
-            self.older = dict(self)
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+            ids = packed(self.tokenizer.encode(word, add_special_tokens=False).ids, self.code) if word else b""
+        return remembered(self, word, ids)
 
     def text(self, text: str) -> bytes:
+        if self.by_pieces and PLAIN.fullmatch(text) and not any(t in text for t in self.special):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+class PieceIds(dict):
+    """Ids of a piece, from the tokenizer's model alone: it takes bytes as letters, as the tokenizer's last step before it does."""
+
+    def __init__(self, model, code: str):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.model, self.code = model, code
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            found = self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))
+            ids = packed([t.id for t in found], self.code)
+        return remembered(self, piece, ids)
+
+
+def packed(ids: list[int], code: str) -> bytes:
+    return struct.pack(f"<{len(ids)}{code}", *ids)
+
+
+def remembered(table: WordIds | PieceIds, word: str, ids: bytes) -> bytes:
+    if len(table) >= WORDS_KEPT:
+        table.older = dict(table)
+        table.clear()
+    if len(word) <= 64:
+        table[word] = ids
+    return ids
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The table of this Python worker: later tasks find what earlier ones learned."""
+    return WordIds(path)
+
+
 def tokenised(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     """(doc_id, ids, wide): ids with the end id as little-endian numbers, of 4 bytes if `wide`, else of 2."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordIds(tokenizer)
+        known = word_ids(tokenizer)
         last = np.array([end], known.kind).tobytes()
         for batch in batches:
             ids = [known.text(t if isinstance(t, str) else "") + last for t in batch["text"]]
