@@ -35,7 +35,7 @@ from ..sources.tables import stage, staging_dir
 END = 2
 SCALE = 20             # frequencies add up to 2**SCALE
 LOW = 1 << 31          # states stay in [LOW, LOW << 32)
-LANES = 256            # interleaved states of a block
+LANES = 512            # interleaved states of a block
 BLOCK_TOKENS = 1 << 16
 CHECK_STEPS = 64       # steps of all lanes between checkpoints
 WORDS_KEPT = 400_000   # words a Python worker remembers the ids of, and as many older ones
@@ -151,11 +151,15 @@ class Table:
     symbol: np.ndarray
     frequency: np.ndarray
     start: np.ndarray
+    place: np.ndarray  # of each id up to the largest
 
     @classmethod
     def of(cls, rows: pd.DataFrame) -> Table:
         rows = rows.sort_values("symbol")
-        return cls(*(rows[c].to_numpy(np.uint64) for c in ("symbol", "frequency", "start")))
+        symbol, frequency, start = (rows[c].to_numpy(np.uint64) for c in ("symbol", "frequency", "start"))
+        place = np.zeros(int(symbol.max(initial=0)) + 1, np.int32)
+        place[symbol.astype(np.int64)] = np.arange(len(symbol))
+        return cls(symbol, frequency, start, place)
 
     def slots(self) -> np.ndarray:
         """Place in the table of each of the 2**SCALE slots."""
@@ -180,7 +184,7 @@ def encode_block(ids: np.ndarray, table: Table) -> tuple[bytes, list[int], bytes
 
     Coding runs from the last step to the first, as the states form a stack. `words` holds how many words come before each checkpoint.
     """
-    at = np.searchsorted(table.symbol, ids)
+    at = table.place[ids]
     freq, start = table.frequency[at], table.start[at]
     steps = -(-len(ids) // LANES)
     state = np.full(LANES, LOW, np.uint64)
@@ -256,7 +260,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END
         size, last = 0, -1
 
         def packed() -> pd.DataFrame:
-            coded = encode_block(np.concatenate([r[2] for r in held]).astype(np.uint64), table)
+            coded = encode_block(np.concatenate([r[2] for r in held]), table)
             row = {"seq": held[0][0], "doc_ids": [r[1] for r in held], "tokens": [len(r[2]) for r in held]}
             return pd.DataFrame([row | dict(zip(("payload", "words", "states"), coded)) | {"crc": checksum(*coded)}])
 
