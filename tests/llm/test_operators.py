@@ -398,6 +398,24 @@ def test_passages(spark, odd):
     assert table(chains.repeated_passages(odd.limit(0))) == []
 
 
+def test_passages_with_spread_edits(spark):
+    """One pair of documents per case: words replaced at even distances, or at random places, down to the allowed share."""
+    rng = random.Random(12)
+    rows, want = [], set()
+    for size in (40, 60, 100):
+        for k, percent in enumerate([80, 85, 90, 95] * 12):
+            base = passage(rng, size).split()
+            n = size - -(-percent * size // 100)
+            gone = [(2 * x + 1) * size // (2 * n) for x in range(n)] if k < 4 else rng.sample(range(1, size - 1), n)
+            copy = [f"new{rng.random()}" if i in gone else w for i, w in enumerate(base)]
+            first = len(rows)
+            rows += [(first, f"{passage(rng, 30)} {' '.join(base)} {passage(rng, 30)}", "s"), (first + 1, f"{passage(rng, 50)} {' '.join(copy)} {passage(rng, 50)}", "s")]
+            want.add((first + 1, first))
+    got = table(chains.repeated_passages(frame(spark, rows)))
+    assert {(r[0], r[3]) for r in got} == want
+    assert all(min(r[2] - r[1], r[5] - r[4]) >= 40 and 100 * r[6] >= 80 * max(r[2] - r[1], r[5] - r[4]) for r in got)
+
+
 def test_chains_against_all_predecessors():
     rng = random.Random(11)
     for _ in range(30):
