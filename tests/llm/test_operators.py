@@ -416,6 +416,14 @@ def test_passages_with_spread_edits(spark):
     assert all(min(r[2] - r[1], r[5] - r[4]) >= 40 and 100 * r[6] >= 80 * max(r[2] - r[1], r[5] - r[4]) for r in got)
 
 
+def test_passages_of_halves_from_different_documents(spark):
+    rng = random.Random(13)
+    a, b = passage(rng, 30), passage(rng, 30)
+    texts = {1: a, 7: a, 2: b, 8: b, 5: f"{a} {b}", 9: f"{a} {b}"}
+    got = table(chains.repeated_passages(frame(spark, [(i, f"{passage(rng, 20)} {t} {passage(rng, 20)}", "s") for i, t in texts.items()])))
+    assert got == [(9, 20, 80, 5, 20, 80, 60)]
+
+
 def test_chains_against_all_predecessors():
     rng = random.Random(11)
     for _ in range(30):
