@@ -37,14 +37,15 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "legend", "summary"}
-# fixed values: parts of class and id names that mark what is no article
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|nav|navbar|navigation|menu|"
-    r"breadcrumb|breadcrumbs|sidebar|side|aside|widget|footer|foot|header|masthead|topbar|toolbar|cookie|cookies|consent|gdpr|notice|notices|alert|"
-    r"popup|modal|overlay|newsletter|subscribe|signup|login|comment|comments|disqus|reply|replies|respond|reader-comments|share|sharing|"
-    r"social|related|recommended|recommendations|more|pagination|pager|tags|meta|legal|copyright|skip|search|form|hidden)(?:$|[\s_-])",
-    re.IGNORECASE,
+# fixed values: class and id names of what is no article. Some words tell as any part of a name, some as its end, some only alone
+ANY_PART = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion breadcrumb breadcrumbs widget cookie cookies consent gdpr popup "
+    "newsletter subscribe signup comment comments disqus reply replies respond share sharing related recommended recommendations pagination pager "
+    "copyright masthead topbar".split()
 )
+LAST_PART = frozenset("nav navbar navigation menu sidebar aside footer foot header banner toolbar notice notices alert modal overlay login social".split())
+ALONE = frozenset("form legal side more meta tags skip search hidden".split())
+NEGATING = frozenset("no not non without has with hide is".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
@@ -54,18 +55,50 @@ RAW = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script",
 GAPS = re.compile(r"\s+")
 
 
+def noise_name(names: str) -> bool:
+    """Whether class or id names mark what is no article."""
+    for name in names.lower().split():
+        parts = re.split("[_-]+", name)
+        if name in ALONE or not NEGATING & set(parts) and (ANY_PART & set(parts) or parts[-1] in LAST_PART):
+            return True
+    return False
+
+
+def released(lines: Sequence[tuple[str, bool, bool, tuple[int, ...]]]) -> list[tuple[str, bool, bool]]:
+    """Lines with (noise, marked), where names alone drop neither the article nor nearly all of the page."""
+    size: dict[int, int] = {}
+    holds_mark = set()
+    total = 0
+    for text, hard, marked, named in lines:
+        if not hard:
+            total += len(text)
+            for k in named:
+                size[k] = size.get(k, 0) + len(text)
+            if marked:
+                holds_mark.update(named)
+    if any(marked and not hard and not named for _, hard, marked, named in lines):
+        free = set()  # the article stands outside: a large block of comments is still no part of it
+    else:
+        free = {k for k, n in size.items() if n > (0.5 if k in holds_mark else MOST_SHARED) * total}
+    if all(hard or set(named) - free for _, hard, _, named in lines):
+        free = set(size)
+    return [(text, hard or bool(set(named) - free), marked) for text, hard, marked, named in lines]
+
+
 def page_lines(page: str) -> list[tuple[str, bool, bool]]:
     """(text, noise, marked) of each block, in page order: noise is no article by its markup, marked lies inside a marked article."""
-    out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []
+    out: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []
     parts: list[str] = []
     noise = marked = False
+    named: tuple[int, ...] = ()  # numbers of the open elements that are noise by their name
+    n_named = 0
 
     def close_line() -> None:
         if parts:
             text = GAPS.sub(" ", entities.unescape("".join(parts))).strip()
             if text:
-                out.append((text, noise, marked))
+                out.append((text, noise, marked, named))
             parts.clear()
 
     at, size = 0, len(page)
@@ -86,7 +119,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
                 close_line()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    _, noise, marked = stack[k]
+                    _, noise, marked, named = stack[k]
                     del stack[k:]
                     break
             continue
@@ -99,7 +132,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, -1, -1):  # an open paragraph ends where a block begins
                 if stack[k][0] == "p":
-                    _, noise, marked = stack[k]
+                    _, noise, marked, named = stack[k]
                     del stack[k:]
                     break
                 if stack[k][0] in BLOCKS:
@@ -109,23 +142,25 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    _, noise, marked = stack[k]
+                    _, noise, marked, named = stack[k]
                     del stack[k:]
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "select", "tbody", "tr"):
                     break
-        stack.append((tag, noise, marked))
+        stack.append((tag, noise, marked, named))
         values = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in ATTRIBUTE.finditer(m[3])}
         role = values.get("role", "").lower()
         if tag in ("article", "main") or role in ("main", "article") or "articlebody" in values.get("itemprop", "").lower():
             marked = marked or not noise
         inner = tag == "header" and marked  # the heading of an article
         names = f"{values.get('class', '')} {values.get('id', '')}"
-        if (tag in DROPPED or tag in ASIDE and not inner or role in ROLES or "hidden" in values or values.get("aria-hidden") == "true"
-                or tag not in ("html", "body", "article", "main") and names != " " and NOISE.search(names)):
+        if tag in DROPPED or tag in ASIDE and not inner or role in ROLES or "hidden" in values or values.get("aria-hidden") == "true":
             noise = True
+        elif tag not in ("html", "body", "article", "main") and names != " " and noise_name(names):
+            n_named += 1
+            named += (n_named,)
     close_line()
-    return out
+    return released(out)
 
 
 def shared_lines(mine: Sequence[str], theirs: Sequence[str]) -> list[bool]:

@@ -273,6 +273,14 @@ def test_pages(spark):
     assert table(pages.main_texts(df.limit(0))) == []
 
 
+def test_names_of_wrappers():
+    text = lambda html: [t for t, noise, _ in pages.page_lines(html) if not noise]
+    for names in ("class='content no-sidebar'", "id='page' class='header-fixed'", "class='long-form'", "class='legal-analysis'", "class='widget'", "class='sidebar'"):
+        for tag in ("article", "div"):
+            assert text(f"<div {names}><{tag}><p>One long story</p></{tag}></div><nav>menu</nav>") == ["One long story"]
+    assert text("<article><p>One</p></article><div class='comment-list'><article>a very long comment by a reader</article></div><div class='site-header'>x</div>") == ["One"]
+
+
 # --- neighbours
 
 
