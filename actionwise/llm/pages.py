@@ -5,9 +5,10 @@ page before and behind it. Lines of a pair are aligned by their longest common s
 the site rather than the article, and go. So do blocks that the markup itself names as no part of an article: navigation, headers and
 footers, asides, forms, adverts, notices, comments, scripts and styles.
 
-If a page marks its article (article, main, or a role or property that says so), only lines outside the mark are differenced: an
-article may well quote a passage that its neighbour quotes too. Without a mark, everything that is left is differenced; where a neighbour shares most
-of it, the pair are versions of one article and nothing is deleted for it.
+If a page marks its article (article, main, or a role or property that says so), the mark breaks ties: a line inside it goes only if both neighbours
+share it, as an article may well quote a passage that its neighbour quotes too, and lines outside it stay only if a neighbour was there to compare. Where
+a neighbour shares most of the article, the pair are versions of one and no line of the article goes for it. Class and id names never drop the only article
+of a page or nearly all of its text.
 
 NULL and empty pages have an empty text. Pages without a URL are a host of their own. Repeated rows are pages of their own. Extra columns take no part.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -163,9 +165,9 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
     return released(out)
 
 
-def shared_lines(mine: Sequence[str], theirs: Sequence[str]) -> list[bool]:
+def shared_lines(mine: Sequence, theirs: Sequence) -> list[bool]:
     """Which of my lines lie on the longest common subsequence with theirs (kept rows of bits, as many as lines)."""
-    places: dict[str, int] = {}
+    places: dict = {}
     for j, line in enumerate(theirs):
         places[line] = places.get(line, 0) | 1 << j
     full = (1 << len(theirs)) - 1
@@ -191,32 +193,32 @@ def shared_lines(mine: Sequence[str], theirs: Sequence[str]) -> list[bool]:
     return out
 
 
-def site_lines(lines: Sequence[tuple[str, bool, bool]]) -> list[str]:
-    """Lines outside the marked article: what is differenced."""
-    return [text for text, _, marked in lines if not marked]
+def line_keys(lines: Sequence[tuple[str, bool, bool]]) -> list[int]:
+    """A hash per line: what is differenced."""
+    return [int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for text, _, _ in lines]
 
 
-def own_lines(lines: Sequence[tuple[str, bool, bool]], others: Sequence[Sequence[str] | None]) -> list[int]:
-    """Places (among the site lines) of those that differ from the site lines of all neighbours and are no noise."""
-    open_lines = [(text, noise) for text, noise, marked in lines if not marked]
-    has_mark = any(marked and not noise for _, noise, marked in lines)
-    mine = [text for text, _ in open_lines]
-    left = {k for k, (_, noise) in enumerate(open_lines) if not noise}
+def own_lines(lines: Sequence[tuple[str, bool, bool]], others: Sequence[Sequence[int] | None]) -> list[int]:
+    """Places of the lines that are no noise and belong to the page rather than the site."""
+    mine, others = line_keys(lines), [other for other in others if other is not None and len(other)]
+    inside = {k for k, (_, noise, marked) in enumerate(lines) if marked and not noise}
+    outside = {k for k, (_, noise, marked) in enumerate(lines) if not marked and not noise}
+    size = lambda some: sum(len(lines[k][0]) for k in some)
+    met: list[set[int]] = []
     for other in others:
-        if other is None or not len(other):
-            continue
         hit = {k for k, shared in enumerate(shared_lines(mine, list(other))) if shared}
-        size = sum(len(mine[k]) for k in left)
-        if has_mark or sum(len(mine[k]) for k in hit & left) <= MOST_SHARED * size:
-            left -= hit
-    return sorted(left)
+        if inside or size(hit & outside) <= MOST_SHARED * size(outside):
+            outside -= hit
+        if size(hit & inside) <= MOST_SHARED * size(inside):
+            met.append(hit & inside)
+    if len(met) > 1:  # a line of the article goes if both neighbours have it: one of them may well quote it
+        inside -= set.intersection(*met)
+    return sorted(inside | outside if others or not inside else inside)
 
 
 def article(lines: Sequence[tuple[str, bool, bool]], own: Sequence[int]) -> str:
-    """Main text: the marked article, or without a mark the page's own lines."""
-    inside = [text for text, noise, marked in lines if marked and not noise]
-    mine = site_lines(lines)
-    return "\n".join(inside or [mine[k] for k in own])
+    """Main text: the page's own lines."""
+    return "\n".join(lines[k][0] for k in own)
 
 
 def with_neighbours(pages: DataFrame) -> DataFrame:
@@ -246,10 +248,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     def outer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lines = [site_lines(page_lines(h or "")) for h in batch["html"]]
+            lines = [line_keys(page_lines(h or "")) for h in batch["html"]]
             yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "lines": lines})
 
-    sites = base.select("key", "url", "html").mapInPandas(outer, "key bigint, url string, lines array<string>")
+    sites = base.select("key", "url", "html").mapInPandas(outer, "key bigint, url string, lines array<bigint>")
     sites = stage(sites.dropDuplicates(["key"]), "site_lines")
     linked = with_neighbours(sites)
     side = lambda n: sites.select(F.col("key").alias(n), F.col("lines").alias(f"{n}_lines"))

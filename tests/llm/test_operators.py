@@ -273,6 +273,14 @@ def test_pages(spark):
     assert table(pages.main_texts(df.limit(0))) == []
 
 
+def test_marked_pages_are_differenced(spark):
+    page = lambda i: f"<p>Site of news</p><article><p>Teaser {i} of it</p><p>Tell your friends</p>{'<p>A quote of two</p>' if i < 3 else ''}</article><p>The long story {i} goes on here</p>"
+    df = spark.createDataFrame([(i, f"http://h.example/a/{100 + i}", page(i)) for i in range(1, 5)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in pages.main_texts(df).collect()}
+    assert got[2] == ["Teaser 2 of it", "A quote of two", "The long story 2 goes on here"]
+    assert got[3] == ["Teaser 3 of it", "The long story 3 goes on here"]
+
+
 def test_names_of_wrappers():
     text = lambda html: [t for t, noise, _ in pages.page_lines(html) if not noise]
     for names in ("class='content no-sidebar'", "id='page' class='header-fixed'", "class='long-form'", "class='legal-analysis'", "class='widget'", "class='sidebar'"):
