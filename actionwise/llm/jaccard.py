@@ -252,7 +252,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         rest = _tiles(mixed.drop("low", "high"), reps, percent, nearest).join(links.select("a", "b"), ["a", "b"], "left_anti")
         rest = stage(rest, "jaccard_pairs")
         if rest.isEmpty():
-            break
+            continue  # the round over all pairs comes also where no nearest pair is new
         links = links.unionByName(_verified(rest, docs, reps, size, percent))
     links = links.filter("linked").select("a", "b")
     comps = components(links).withColumnRenamed("node", "set_key")

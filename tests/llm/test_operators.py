@@ -97,6 +97,18 @@ def test_jaccard_is_exact(spark):
     assert len({c for _, _, c in want}) < len(rows)
 
 
+def test_jaccard_looks_at_all_pairs_where_no_nearest_is_left(spark, monkeypatch):
+    """The first phase and the nearest pairs give nothing new: the round over all pairs still finds every link."""
+    rng, tiles = random.Random(1), jaccard._tiles
+    base = passage(rng, 100)
+    rows = [(0, base, "s"), (1, base + " one", "s"), (2, passage(rng, 100), "s"), (3, base + " two", "s")]
+    monkeypatch.setattr(jaccard, "_passing", lambda pairs, reps, percent: pairs.limit(0))
+    monkeypatch.setattr(jaccard, "_tiles", lambda rows, reps, percent, nearest: tiles(rows, reps, percent, nearest).filter(F.lit(not nearest)))
+    want = plain_components([(i, t) for i, t, _ in rows], 4, 85)
+    assert len({c for _, _, c in want}) == 2
+    assert set(table(jaccard.jaccard_components(frame(spark, rows), 4, 85))) == want
+
+
 def test_jaccard_edges(spark, odd):
     got = table(jaccard.jaccard_components(odd, 4, 85))
     assert len(got) == odd.count()
