@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import scan as scan_table
-from . import chains, decontaminate, jaccard, lines, mixing, neighbours, pages, quality, suffixes, tokens
+from . import chains, decontaminate, jaccard, lines, middle, mixing, neighbours, packing, pages, periods, quality, suffixes, tokens
 from .common import small_batches
 
 
@@ -17,10 +17,10 @@ def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan_table(spark, sf_dir, name)
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +66,21 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(scan(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.report(scan(spark, sf_dir, "documents"))
+
+
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(scan(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(scan(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_decontaminate": decontaminate.matches_sql(), "op9_mix": mixing.mix_sql()}
+    return {"op4_decontaminate": decontaminate.matches_sql(), "op9_mix": mixing.mix_sql(), "op11_middle": middle.report_sql()}

@@ -62,12 +62,12 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(_PRIME))
 
 
-def chunked(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def chunked(texts: Sequence[str | bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, UTF-8 texts) of consecutive rows, of about `limit` bytes together; NULL counts as empty."""
     part: list[bytes] = []
     first = size = 0
     for i, text in enumerate(texts):
-        raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+        raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text if isinstance(text, bytes) else b""
         if part and size + len(raw) > limit:
             yield first, part
             part, first, size = [], i, 0
