@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
+from ..sources.tables import stage
 from ..specs import KEY, FeatureSpec, TrainSpec
 from .metrics import auc_roc
 from .population import with_fold
 from .scoring import positive_probability
+from .trees import ensemble_nodes, leaves_reached, margin_of
 
 
 def string_indexer(features: FeatureSpec) -> StringIndexer:
@@ -85,6 +92,78 @@ def grid_metrics(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, "max_iter int, max_depth int, step_size double, auc double")
 
 
+@dataclass(frozen=True)
+class SearchResult:
+    """Outcome of a grid search: AUC per point, the best point, and the pipeline fitted with it on all rows."""
+
+    grid: DataFrame
+    best: dict[str, float]
+    model: PipelineModel
+
+
+def fold_vectors(folded: DataFrame, features: FeatureSpec, fold: int) -> tuple[DataFrame, DataFrame]:
+    """Stored vectors of the rows outside a fold, and of those inside as arrays; indexers know the outer rows only."""
+    outer, inner = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+    indexers = [string_indexer(features)] if features.categorical else []
+    prepare = Pipeline(stages=[*indexers, assembler(features)]).fit(outer)
+    left = stage(prepare.transform(outer).select("target", "features"), f"fold-{fold}")
+    return left, prepare.transform(inner).select("target", vector_to_array("features").alias("x"))
+
+
+def staged_scores(folded: DataFrame, features: FeatureSpec, spec: TrainSpec) -> DataFrame:
+    """(fold, max_iter, max_depth, step_size, target, score) of each row in each grid point, by models that didn't see it.
+
+    Boosting adds tree after tree, and neither its data nor its seeds depend on how many follow. So the first k trees of a long ensemble are
+    the ensemble fitted with maxIter k, and one fit per fold, depth and step answers for all numbers of trees. Vectors are made once per
+    fold; the fits run `parallelism` at a time; all scores come from one pass over the rows.
+    """
+    session = folded.sparkSession
+    vectors = {fold: fold_vectors(folded, features, fold) for fold in range(spec.folds)}
+    gbt = classifier(spec)
+    points = [(fold, depth, step) for fold in vectors for depth in spec.max_depth for step in spec.step_size]
+
+    def fit(point: tuple[int, int, float]):
+        fold, depth, step = point
+        return gbt.fit(vectors[fold][0], {gbt.maxIter: max(spec.max_iter), gbt.maxDepth: depth, gbt.stepSize: step})
+
+    pool = ThreadPool(spec.parallelism)
+    try:
+        fitted = dict(zip(points, pool.map(inheritable_thread_target(session)(fit), points)))
+    finally:
+        pool.close()
+    scored = None
+    for fold, (_, inner) in vectors.items():
+        own = [(depth, step) for f, depth, step in points if f == fold]
+        values = {f"v{k}": leaves_reached(ensemble_nodes(fitted[fold, *p]), F.col("x"))["value"] for k, p in enumerate(own)}
+        cells = [
+            F.struct(F.lit(trees).alias("max_iter"), F.lit(depth).alias("max_depth"), F.lit(step).alias("step_size"), margin_of(F.col(f"v{k}"), trees).alias("score"))
+            for k, (depth, step) in enumerate(own)
+            for trees in spec.max_iter
+        ]
+        rows = inner.withColumns(values).select(F.lit(fold).alias("fold"), "target", F.inline(F.array(*cells)))
+        scored = rows if scored is None else scored.unionByName(rows)
+    return scored
+
+
+def staged_search(train: DataFrame, features: FeatureSpec, spec: TrainSpec) -> SearchResult:
+    """Grid search with cross-validation over hash folds, with one fit for all numbers of trees.
+
+    A point's AUC is the average over folds, each exact; a fold whose rows are all of one class takes no part. Equal points: the smaller model.
+    """
+    session = train.sparkSession
+    scored = staged_scores(with_fold(train, spec.folds, spec.seed), features, spec)
+    names = ["max_iter", "max_depth", "step_size"]
+    grid = auc_roc(scored, by=["fold", *names]).groupBy(*names).agg(F.avg("auc").alias("auc"))
+    rows = [tuple(r) for r in grid.collect()]  # one row per grid point
+    rows += [(*p, None) for p in ((i, d, s) for i in spec.max_iter for d in spec.max_depth for s in spec.step_size) if p not in {r[:3] for r in rows}]
+    best = max(rows, key=lambda r: (-1.0 if r[3] is None else r[3], -r[0], -r[1], -r[2]))
+    pipeline = build_pipeline(features, spec)
+    gbt = pipeline.getStages()[-1]
+    model = pipeline.fit(train, dict(zip((gbt.maxIter, gbt.maxDepth, gbt.stepSize), best)))
+    table = session.createDataFrame(rows, "max_iter int, max_depth int, step_size double, auc double")
+    return SearchResult(table, dict(zip(names, best)), model)
+
+
 def best_params(model: PipelineModel) -> dict[str, str]:
     gbt = model.stages[-1]
     return {"maxIter": str(gbt.getMaxIter()), "maxDepth": str(gbt.getMaxDepth()), "stepSize": str(gbt.getStepSize())}

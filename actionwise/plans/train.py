@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.cleaning import cast_numeric, rename_target
 from ..operators.metrics import auc_roc, model_performance, roc_curve, threshold_curves
 from ..operators.population import train_test_split, training_union
-from ..operators.training import best_params, cross_validate, evaluation_frame, feature_importance, grid_metrics
+from ..operators.training import best_params, evaluation_frame, feature_importance, staged_search
+from ..operators.trees import tree_table
 from ..sources.registry import append_registry, registry_row, save_model
 from ..sources.tables import stage, staging_dir
 from ..specs import ActionSpec, FeatureSpec, TrainSpec, model_actions
@@ -40,6 +41,11 @@ def coded_features(features: FeatureSpec, codes: Mapping[str, str]) -> FeatureSp
     )
 
 
+def tree_path(uri: str) -> str:
+    """Where the node table of a stored pipeline stands."""
+    return f"{uri.rstrip('/')}_trees"
+
+
 def training_data(positive: DataFrame, negative: DataFrame, action: ActionSpec, features: FeatureSpec) -> DataFrame:
     """Both classes with numeric features cast and the flag renamed to `target`."""
     data = cast_numeric(training_union(positive, negative), features.numeric)
@@ -60,10 +66,11 @@ def train_action(
     parts = [spark.table(table_name(database, action, part)) for part in ("positive_class", "negative_class")]
     staging_dir(spark)  # boosting cuts its own lineage in the checkpoint folder
     train, test = train_test_split(training_data(*parts, action, features), spec.train_fraction, spec.seed)
-    search = cross_validate(train, features, spec)
-    model = search.bestModel
+    search = staged_search(stage(train, f"train-{action.name}"), features, spec)  # read for each fold and point
+    model = search.model
     uri = f"{model_dir.rstrip('/')}/{spec.version}/{action.name}"
     save_model(model, uri)
+    tree_table(model, features).save(tree_path(uri))
     # the evaluation tables all start from the scored test users: score them once
     scored = stage(evaluation_frame(model, test), f"evaluation-{action.name}")
     row = registry_row(spark, action.name, spec.version, uri, features.columns, best_params(model))
@@ -72,7 +79,7 @@ def train_action(
         action=action,
         model=model,
         uri=uri,
-        grid=grid_metrics(spark, search),
+        grid=search.grid,
         performance=model_performance(scored),
         auc=auc_roc(scored),
         roc=roc_curve(scored),
