@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, deciles, distributions, metrics, population, ranking, scoring, training
-from ..sources.registry import latest_models
-from ..sources.tables import scan, stage
+from ..operators import cleaning, deciles, distributions, metrics, population, quantiles, ranking, scoring, training, trees
+from ..sources.registry import latest_models, latest_uris, load_model, registry_row, save_model
+from ..sources.tables import scan, stage, staging_dir
 from ..sources.tables import survivability_table as modifier_table
 from ..specs import KEY, FeatureSpec, TrainSpec, model_actions, scored_actions
 from . import starschema as star
 from .deploy import user_level_scores as score_table
-from .targets import training_population
-from .train import training_data
+from .targets import class_tables, training_population
+from .train import training_data, tree_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,17 @@ RULES = [a for a in star.ACTIONS if a.is_rule]
 PERIOD = star.Period()
 ELIGIBLE_DAYS = 2000
 QUICK = TrainSpec(max_depth=(2,), max_iter=(5,), step_size=(0.1,), folds=2)
+GRID = TrainSpec(max_depth=(2, 5), max_iter=(5, 10), step_size=(0.01, 0.1), folds=3)
+NUMERIC = RECURRING.features.numeric
+
+# Two fixed trees, whose cover is counted on the users at hand.
+FROZEN_FEATURES = [(0, "segment", ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"]), (1, "share_urgent", None), (2, "n_orders", None)]
+FROZEN_NODES = [
+    (0, 0, 1, 0.2, None, 1, 2, 0.0, 0), (1, 0, -1, None, None, None, None, -0.5, 0), (2, 0, 2, 8.0, None, 3, 4, 0.0, 0),
+    (3, 0, -1, None, None, None, None, 0.25, 0), (4, 0, -1, None, None, None, None, 0.75, 0),
+    (5, 1, 0, None, [0.0, 2.0], 6, 7, 0.0, 0), (6, 1, -1, None, None, None, None, 0.125, 0), (7, 1, 1, 0.4, None, 8, 9, 0.0, 0),
+    (8, 1, -1, None, None, None, None, -0.25, 0), (9, 1, -1, None, None, None, None, 0.375, 0),
+]
 
 _queries: dict[str, Query] = {}
 
@@ -188,10 +200,37 @@ def distribution_drift(spark, sf):
     return distributions.distribution_drift(
         population.negative_class(everyone, RECURRING.flag),
         population.downsample_negative(everyone, RECURRING.flag),
-        ["segment", "n_orders"],
+        RECURRING.features.columns,
     ).select("column", F.round("distance", 9).alias("distance"))
 
 
+def _populations(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The four populations a training run starts from, each stored."""
+    everyone = stage(_population(spark, sf), "population")
+    return {name: stage(df, name) for name, df in class_tables(everyone, RECURRING).items()}
+
+
+@query
+def feature_quantiles(spark, sf):
+    """Exact deciles of every numeric feature of all users."""
+    return quantiles.exact_quantiles(stage(star.load_profile(spark, sf).select(*NUMERIC), "features"), NUMERIC, 10)
+
+
+@query
+def binned_distribution(spark, sf):
+    """Every feature of the four populations, over bins that the full one fills equally."""
+    found = _populations(spark, sf)
+    edges = distributions.common_edges(found["full_population"], NUMERIC)
+    return distributions.binned_distribution(found, edges, RECURRING.features.categorical)
+
+
+@query
+def feature_drift(spark, sf):
+    """How far three populations are from the full one, in every feature."""
+    rows = distributions.drift(_populations(spark, sf), "full_population", NUMERIC, RECURRING.features.categorical)
+    return rows.select("population", "column", F.round("psi", 9).alias("psi"), F.round("ks", 9).alias("ks"))
+
+
 @query
 def window_targets(spark, sf):
     users = scan(spark, sf, "customer").select(F.col("c_custkey").alias(KEY))
@@ -297,8 +336,85 @@ def gbt_scores(spark, sf):
 
 @query
 def cv_grid(spark, sf):
+    """AUC of each grid point over three folds."""
+    train, _ = _labelled(spark, sf)
+    return training.staged_search(stage(train, "train"), RECURRING.features, GRID).grid
+
+
+@query
+def cv_grid_points(spark, sf):
+    """The grid of a search without what is learned: that each point has an AUC, and that the best one is a point."""
+    train, _ = _labelled(spark, sf)
+    found = training.staged_search(stage(train, "train"), RECURRING.features, GRID)
+    best = F.lit(True)
+    for name, value in found.best.items():
+        best &= F.col(name) == value
+    return found.grid.select(
+        "max_iter", "max_depth", "step_size",
+        F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("has_auc"),
+        (~best | (F.col("auc") == F.max("auc").over(Window.partitionBy()))).alias("best_is_highest"),
+        F.sum(best.cast("int")).over(Window.partitionBy()).alias("n_best"),
+    )
+
+
+@query
+def stored_model_scores(spark, sf):
+    """Two stored models of one name: the newer one, loaded as pipeline and as node table, scores every scorable user alike."""
+    train, _ = _labelled(spark, sf)
+    model = _model(train)
+    base = f"{staging_dir(spark)}/models-{uuid.uuid4().hex}"
+    uris = [f"{base}/{version}" for version in ("V1p0", "V2p0")]
+    save_model(model, uris[1])
+    trees.tree_table(model, RECURRING.features).save(tree_path(uris[1]))
+    registry = None
+    for day, uri in enumerate(uris, 1):
+        row = registry_row(spark, RECURRING.name, uri[-4:], uri, RECURRING.features.columns, training.best_params(model))
+        row = row.withColumn("snapshot_date", F.timestamp_add("DAY", F.lit(day), F.lit("2001-01-01").cast("timestamp")))
+        registry = row if registry is None else registry.unionByName(row)
+    uri = latest_uris(registry, [RECURRING.name])[RECURRING.name]
+    users = scoring.scorable_users(star.load_profile(spark, sf), RECURRING)
+    scored = scoring.model_scorer(load_model(uri))(users, RECURRING)
+    scored = scored.withColumnsRenamed({RECURRING.probability: "_p", RECURRING.prediction: "_c"})
+    both = trees.tree_scorer(trees.load_tree_table(spark, tree_path(uri)))(scored, RECURRING)
+    same = (F.abs(F.col("_p") - F.col(RECURRING.probability)) < 1e-12) & (F.col("_c") == F.col(RECURRING.prediction))
+    return both.select(KEY, F.regexp_extract(F.lit(uri), "[^/]+$", 0).alias("version"), same.alias("same"), F.col("_p").between(0, 1).alias("in_range"))
+
+
+def _attributions(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _labelled(spark, sf)
-    return training.grid_metrics(spark, training.cross_validate(train, RECURRING.features, QUICK))
+    users = scoring.scorable_users(star.load_profile(spark, sf), RECURRING)
+    return trees.attributions(users, trees.tree_table(_model(train), RECURRING.features))
+
+
+@query
+def feature_attributions(spark, sf):
+    """Whether the attributions of each scorable user add up to the margin that the model gives."""
+    rows = _attributions(spark, sf)
+    total = sum([F.col(f"phi_{c}") for c in RECURRING.features.columns], F.col("base"))
+    return rows.select(KEY, (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"))
+
+
+@query
+def attribution_summary(spark, sf):
+    return trees.attribution_summary(_attributions(spark, sf))
+
+
+def _frozen(spark: SparkSession, sf: str) -> tuple[DataFrame, trees.TreeTable]:
+    users = stage(training_population(star.load_profile(spark, sf), RECURRING), "population")
+    table = trees.TreeTable(spark.createDataFrame(FROZEN_NODES, trees.NODES), spark.createDataFrame(FROZEN_FEATURES, trees.FEATURES))
+    return users, trees.with_cover(table, users)
+
+
+@query
+def frozen_tree_cover(spark, sf):
+    return _frozen(spark, sf)[1].nodes.select("place", "cover")
+
+
+@query
+def frozen_attributions(spark, sf):
+    """Attributions by two fixed trees: their values depend on the users alone."""
+    names = ["base", *[f"phi_{name}" for _, name, _ in FROZEN_FEATURES], "margin"]
+    return trees.attributions(*_frozen(spark, sf)).select(KEY, *[(F.round(c, 9) + 0.0).alias(c) for c in names])
 
 
 @query
@@ -388,19 +504,19 @@ def user_level_scores_by_cuts(spark, sf):
 @query
 def gathered_scores(spark, sf):
     """The same scores from one row per user and action."""
-    scores = _scored_wide(spark, sf)
+    scores = stage(_scored_wide(spark, sf), "scores")
     rows = F.array(
         *[
             F.struct(
                 F.lit(a.name).alias("action"),
                 F.col(a.probability).alias("probability"),
                 F.col(a.prediction).alias("prediction"),
-                F.col(a.scored).cast("int").alias("decile"),
+                F.col(a.decile).alias("decile"),
             )
             for a in scored_actions(star.ACTIONS)
         ]
     )
-    long = scores.select(KEY, F.inline(rows)).filter("decile > 0")
+    long = deciles.with_deciles(scores, scored_actions(star.ACTIONS)).select(KEY, F.inline(rows)).filter("decile > 0")
     users = scan(spark, sf, "customer").select(F.col("c_custkey").alias(KEY))
     return scoring.gather_scores(users, long, scored_actions(star.ACTIONS))
 
@@ -408,8 +524,18 @@ def gathered_scores(spark, sf):
 @query
 def score_summary(spark, sf):
     columns = [c for a in scored_actions(star.ACTIONS) for c in (a.probability, a.prediction)]
-    stats = distributions.profile(_scored_wide(spark, sf), columns)
-    return stats.select("column", "n", F.round("mean", 9).alias("mean"), F.round("stddev", 9).alias("stddev"), "min", "max")
+    return _rounded(distributions.exact_profile(stage(_scored_wide(spark, sf), "scores"), columns))
+
+
+def _rounded(stats: DataFrame) -> DataFrame:
+    whole = ("column", "n", "min", "p25", "p50", "p75", "max")
+    return stats.select(*whole, *[F.round(c, 9).alias(c) for c in ("mean", "stddev")])
+
+
+@query
+def rank_summary(spark, sf):
+    ranks = stage(ranking.rank_actions(_scored_wide(spark, sf), star.ACTIONS), "ranks")
+    return _rounded(distributions.exact_profile(ranks, [a.name for a in star.ACTIONS]))
 
 
 # --- ranking ---------------------------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import vendor_rename
 from ..operators.deciles import with_deciles
+from ..operators.distributions import exact_profile
 from ..operators.population import duplicate_keys
 from ..operators.ranking import rank_actions
 from ..operators.scoring import Scorer, flipped_flag, model_scorer, score_actions
@@ -58,7 +59,8 @@ def deploy(
     """Score users, write `user_level_scores` and `user_level_ranks`, and return both tables.
 
     The models run once: their output is staged, deciles and ranks both read the stage. A key that occurs twice, in the
-    users or in an outside score table, is an error.
+    users or in an outside score table, is an error. What was written is profiled, quartiles included, into tables of the same names
+    ending in `_profile`.
     """
     stored = coded_actions(actions, codes or {})
     scores = stage(score_actions(vendor_rename(users, codes or {}), stored, scorers), "scores")
@@ -67,4 +69,8 @@ def deploy(
         raise ValueError(f"user key is not unique: {repeated[0][KEY]!r} occurs {repeated[0]['n']} times")
     write_snapshot(user_level_scores(scores, stored), f"{database}.user_level_scores", as_of, buckets)
     write_snapshot(rank_actions(scores, stored, modifiers), f"{database}.user_level_ranks", as_of, buckets)
-    return spark.table(f"{database}.user_level_scores"), spark.table(f"{database}.user_level_ranks")
+    written = [spark.table(f"{database}.user_level_{x}") for x in ("scores", "ranks")]
+    columns = [[c for a in scored_actions(stored) for c in (a.probability, a.prediction, a.decile)], [a.name for a in stored]]
+    for x, table, names in zip(("scores", "ranks"), written, columns):
+        write_snapshot(exact_profile(table, names), f"{database}.user_level_{x}_profile", as_of)
+    return tuple(written)

@@ -201,6 +201,65 @@ def _tiles(action: str) -> str:
     )
 
 
+def _summary(table: str, columns: list[str]) -> str:
+    def quartile(c: str, k: int) -> str:
+        return f"(SELECT v FROM (SELECT CAST({c} AS DOUBLE) AS v, row_number() OVER (ORDER BY {c}) AS r, count(*) OVER () AS n FROM {table} WHERE {c} IS NOT NULL) WHERE r = ({k} * n + 3) // 4)"
+
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg(CAST({c} AS DOUBLE)), 9) AS mean, round(stddev(CAST({c} AS DOUBLE)), 9) AS stddev, "
+        f"CAST(min({c}) AS DOUBLE) AS min, {quartile(c, 1)} AS p25, {quartile(c, 2)} AS p50, {quartile(c, 3)} AS p75, CAST(max({c}) AS DOUBLE) AS max FROM {table}"
+        for c in columns
+    )
+
+
+def _drift() -> list[str]:
+    """CTEs of four populations: bins along the full one's twentieths, stability index and largest gap of each against the full one."""
+    parts = {
+        "full_population": "population", "positive_class": f"population WHERE {FLAG} = 1",
+        "negative_class": "negative_sample", "negative_class_all": f"population WHERE {FLAG} = 0",
+    }
+    numbers = MODEL_FEATURES[1:]
+    return [
+        "pops AS (" + " UNION ALL ".join(f"SELECT '{p}' AS population, * FROM {t}" for p, t in parts.items()) + ")",
+        "vals AS (" + " UNION ALL ".join(f"SELECT population, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM pops" for c in numbers) + ")",
+        """edges AS (SELECT DISTINCT "column", value AS edge FROM (SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY value) AS r,
+  count(*) OVER (PARTITION BY "column") AS n FROM vals WHERE population = 'full_population' AND value IS NOT NULL), range(1, 20) t(k)
+  WHERE r = (k * n + 19) // 20)""",
+        """binned AS (SELECT population, "column", bin, count(*) AS n FROM (SELECT population, v."column", CAST(CASE WHEN value IS NULL THEN -1 ELSE
+  (SELECT count(*) FROM edges e WHERE e."column" = v."column" AND e.edge < v.value) END AS VARCHAR) AS bin FROM vals v
+  UNION ALL SELECT population, 'segment', coalesce(segment, '-1') FROM pops) GROUP BY ALL)""",
+        """cells AS (SELECT p.population, b."column", b.bin, coalesce(n, 0) + CAST(0.5 AS DOUBLE) AS n FROM (SELECT DISTINCT population FROM pops) p,
+  (SELECT DISTINCT "column", bin FROM binned) b LEFT JOIN binned c ON c.population = p.population AND c."column" = b."column" AND c.bin = b.bin)""",
+        'smooth AS (SELECT population, "column", bin, n / sum(n) OVER (PARTITION BY population, "column") AS share FROM cells)',
+        """psi AS (SELECT a.population, a."column", sum((a.share - r.share) * ln(a.share / r.share)) AS psi FROM smooth a
+  JOIN smooth r ON r.population = 'full_population' AND r."column" = a."column" AND r.bin = a.bin WHERE a.population <> 'full_population' GROUP BY ALL)""",
+        """below AS (SELECT p.population, v."column", v.value, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY p.population, v."column" ORDER BY v.value) AS DOUBLE)
+  / sum(coalesce(n, 0)) OVER (PARTITION BY p.population, v."column") AS f FROM (SELECT DISTINCT population FROM pops) p,
+  (SELECT DISTINCT "column", value FROM vals WHERE value IS NOT NULL) v LEFT JOIN (SELECT population, "column", value, count(*) AS n FROM vals
+  WHERE value IS NOT NULL GROUP BY ALL) c ON c.population = p.population AND c."column" = v."column" AND c.value = v.value)""",
+        """ks AS (SELECT a.population, a."column", max(abs(a.f - r.f)) AS ks FROM below a JOIN below r ON r.population = 'full_population'
+  AND r."column" = a."column" AND r.value = a.value WHERE a.population <> 'full_population' GROUP BY ALL)""",
+    ]
+
+
+# Games of two fixed trees: a0 .. asn the first one's value when nothing, the share, the number of orders or both are known; b0 .. bgs the second's.
+FROZEN = """frozen AS (SELECT id, share_urgent AS s, n_orders AS n, coalesce(segment IN ('AUTOMOBILE', 'HOUSEHOLD'), false) AS g FROM population),
+shares AS (SELECT CAST(count(*) FILTER (s <= 0.2) AS DOUBLE) / count(*) AS cs,
+  CAST(count(*) FILTER (s > 0.2 AND n <= 8) AS DOUBLE) / nullif(count(*) FILTER (s > 0.2), 0) AS cn,
+  CAST(count(*) FILTER (g) AS DOUBLE) / count(*) AS cg,
+  CAST(count(*) FILTER (NOT g AND s <= 0.4) AS DOUBLE) / nullif(count(*) FILTER (NOT g), 0) AS ch FROM frozen),
+games AS (SELECT id,
+  cs * -0.5 + (1 - cs) * (cn * 0.25 + (1 - cn) * 0.75) AS a0,
+  CASE WHEN s <= 0.2 THEN -0.5 ELSE cn * 0.25 + (1 - cn) * 0.75 END AS as_,
+  cs * -0.5 + (1 - cs) * CASE WHEN n <= 8 THEN 0.25 ELSE 0.75 END AS an,
+  CASE WHEN s <= 0.2 THEN -0.5 WHEN n <= 8 THEN 0.25 ELSE 0.75 END AS asn,
+  cg * 0.125 + (1 - cg) * (ch * -0.25 + (1 - ch) * 0.375) AS b0,
+  CASE WHEN g THEN 0.125 ELSE ch * -0.25 + (1 - ch) * 0.375 END AS bg,
+  cg * 0.125 + (1 - cg) * CASE WHEN s <= 0.4 THEN -0.25 ELSE 0.375 END AS bs,
+  CASE WHEN g THEN 0.125 WHEN s <= 0.4 THEN -0.25 ELSE 0.375 END AS bgs
+  FROM frozen, shares)"""
+
+
 def oracles() -> dict[str, str]:
     profile, scores = _with(PROFILE), _with(PROFILE, SCORES)
     population = _with(PROFILE, POPULATION)
@@ -249,7 +308,7 @@ def oracles() -> dict[str, str]:
         for c in ["segment", "n_orders", FLAG]
     )
     drift = []
-    for c in ("segment", "n_orders"):
+    for c in MODEL_FEATURES:
         a, b = (
             f"(SELECT CAST({c} AS VARCHAR) AS value, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM {t}) AS share FROM {t} GROUP BY 1)"
             for t in ("negative_all", "negative_sample")
@@ -328,15 +387,41 @@ def oracles() -> dict[str, str]:
     joins = " ".join(f"LEFT JOIN {a}_tiles ON {a}_tiles.id = scores.id" for a in SHARES)
     out["user_level_scores"] = _with(PROFILE, SCORES, *tiles) + f"SELECT scores.id, {flipped}, {triples} FROM scores {joins}"
     out["user_level_scores_by_cuts"] = out["user_level_scores"]
-    out["gathered_scores"] = scores + "SELECT id, " + ", ".join(
-        f"{a}_probability, {a}_prediction, CAST({a}_scored AS INTEGER) AS {a}_score_decile" for a in SHARES
-    ) + " FROM scores"
-    out["score_summary"] = scores + " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 9) AS mean, round(stddev({c}), 9) AS stddev, "
-        f"min({c}) AS min, max({c}) AS max FROM scores"
-        for a in SHARES
-        for c in (f"{a}_probability", f"{a}_prediction")
+    out["gathered_scores"] = _with(PROFILE, SCORES, *tiles) + "SELECT scores.id, " + ", ".join(
+        f"{a}_probability, {a}_prediction, coalesce({a}_tiles.tile, 0) AS {a}_score_decile" for a in SHARES
+    ) + f" FROM scores {joins}"
+    out["score_summary"] = scores + _summary("scores", [f"{a}_{x}" for a in SHARES for x in ("probability", "prediction")])
+    out["rank_summary"] = ranks + f"SELECT * FROM (WITH wide AS ({WIDE_RANKS}) {_summary('wide', ACTIONS)})"
+
+    out["feature_quantiles"] = profile + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(n AS BIGINT) AS n, CAST(k AS INTEGER) AS k, CAST(v AS DOUBLE) AS value FROM "
+        f"(SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS r, count(*) OVER () AS n FROM profile WHERE {c} IS NOT NULL), range(1, 10) t(k) "
+        "WHERE r = (k * n + 9) // 10"
+        for c in MODEL_FEATURES[1:]
+    )
+    drifted = _with(PROFILE, POPULATION, NEGATIVE_SAMPLE, *_drift())
+    out["binned_distribution"] = drifted + "SELECT population, \"column\", bin, n, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY population, \"column\") AS share FROM binned"
+    out["feature_drift"] = drifted + (
+        "SELECT population, \"column\", round(psi, 9) AS psi, round(ks, 9) AS ks FROM psi LEFT JOIN ks USING (population, \"column\")"
+    )
+
+    out["cv_grid_points"] = (
+        "SELECT i AS max_iter, d AS max_depth, s AS step_size, true AS has_auc, true AS best_is_highest, CAST(1 AS BIGINT) AS n_best FROM "
+        "(VALUES (5), (10)) a(i), (VALUES (2), (5)) b(d), (VALUES (CAST(0.01 AS DOUBLE)), (CAST(0.1 AS DOUBLE))) c(s)"
+    )
+    out["stored_model_scores"] = profile + f"SELECT id, 'V2p0' AS version, true AS same, true AS in_range FROM profile WHERE {scorable}"
+    out["feature_attributions"] = profile + f"SELECT id, true AS adds_up FROM profile WHERE {scorable}"
+    frozen = _with(PROFILE, POPULATION, FROZEN)
+    places = {
+        0: "true", 1: "s <= 0.2", 2: "s > 0.2", 3: "s > 0.2 AND n <= 8", 4: "s > 0.2 AND n > 8",
+        5: "true", 6: "g", 7: "NOT g", 8: "NOT g AND s <= 0.4", 9: "NOT g AND s > 0.4",
+    }
+    out["frozen_tree_cover"] = frozen + " UNION ALL ".join(
+        f"SELECT CAST({p} AS INTEGER) AS place, count(*) FILTER ({c}) AS cover FROM frozen" for p, c in places.items()
     )
+    out["frozen_attributions"] = frozen + """SELECT id, round(a0 + b0, 9) + 0.0 AS base, round((bg - b0 + bgs - bs) / 2, 9) + 0.0 AS phi_segment,
+  round((as_ - a0 + asn - an) / 2 + (bs - b0 + bgs - bg) / 2, 9) + 0.0 AS phi_share_urgent, round((an - a0 + asn - as_) / 2, 9) + 0.0 AS phi_n_orders,
+  round(CAST(asn + bgs AS DOUBLE), 9) + 0.0 AS margin FROM games"""
 
     out["scores_with_flags"] = scores + f"SELECT id, {_cols([f'{a}_prediction' for a in SHARES])}, {flags} FROM scores"
     out["action_scores"] = _with(PROFILE, SCORES, ACTION_SCORES) + "SELECT * FROM action_scores"

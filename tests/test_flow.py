@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from actionwise.operators import scoring, training
+from actionwise.operators import scoring, training, trees
 from actionwise.operators.deciles import score_deciles
 from actionwise.operators.population import train_test_split, training_union
 from actionwise.operators.ranking import rank_scored_users
@@ -86,6 +86,10 @@ def test_stored_model_predicts_the_same(spark, users, trained):
     fresh = scoring.inference_frame(trained["recurring_action"].model.transform(scorable), coded)
     stored = scoring.score_with_model(scorable, coded, trained["recurring_action"].uri)
     assert sorted(fresh.collect()) == sorted(stored.collect())
+    # and so does the node table next to it, without the library
+    table = trees.load_tree_table(spark, train.tree_path(trained["recurring_action"].uri))
+    own = {r["id"]: (r[coded.probability], r[coded.prediction]) for r in trees.tree_scorer(table)(scorable, coded).collect()}
+    assert all(abs(own[r["id"]][0] - r[coded.probability]) < 1e-12 and own[r["id"]][1] == r[coded.prediction] for r in fresh.collect())
 
 
 def test_unknown_model_name(spark, tmp_path):
@@ -103,6 +107,9 @@ def test_deploy_with_trained_models(spark, users, trained):
         spark, users, actions, scorers, DB, starschema.VENDOR_CODES, spark.table(f"{DB}.survivability"), AS_OF
     )
     assert scores.count() == ranks.count() == users.count()
+    profiles = {r["column"]: r for x in ("scores", "ranks") for r in spark.table(f"{DB}.user_level_{x}_profile").collect()}
+    assert all(r["n"] == users.count() and r["min"] <= r["p25"] <= r["p50"] <= r["p75"] <= r["max"] for r in profiles.values())
+    assert {"recurring_action", "recurring_action_probability", "recurring_action_score_decile"} <= set(profiles)
     assert scores.filter(" OR ".join(f"{c} IS NULL" for c in scores.columns)).count() == 0
     # the scores of the join-based operators agree with the row-wise ones
     coded = {a.name: a for a in deploy.coded_actions(actions, starschema.VENDOR_CODES)}

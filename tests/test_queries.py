@@ -12,7 +12,7 @@ import __spark_entry__ as contract
 
 BASE = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(BASE).exists(), reason="test tables not available")
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+TYPES = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
