@@ -402,13 +402,57 @@ def test_lines(spark, odd):
                 want.add((i, j))
             if line:
                 seen.append(line)
-    assert set(table(lines.repeated_lines(frame(spark, rows)))) == want
+    assert {(i, j) for i, _, j in table(lines.repeated_lines(frame(spark, rows)))} == want
     left = lines.without_repeats(odd)
     assert left.count() == odd.count() and left.columns[: len(odd.columns)] == odd.columns
     assert {r.doc_id: (r.n_lines, r.n_removed) for r in left.filter("doc_id in (1, 2, 3, 4, 8)").collect()} == {1: (1, 0), 2: (1, 1), 3: (0, 0), 4: (0, 0), 8: (3, 1)}
     assert table(lines.without_repeats(odd.limit(0))) == []
 
 
+def plain_lines(rows):
+    """(doc_id, text, n_removed) per row: documents are (doc_id, text), in any order for equal doc_ids."""
+    docs = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None})
+    seen, gone = [], {}
+    for *doc, text in docs:
+        for j, line in enumerate(text.split("\n")):
+            if line and any(x == line or min(len(x), len(line)) >= 20 and distance_one(x, line) for x in seen):
+                gone.setdefault((*doc, text), set()).add(j)
+            if line:
+                seen.append(line)
+    out = []
+    for i, t in rows:
+        g = gone.get((i is not None, i or 0, t), set())
+        out.append((i, t and "\n".join(x for j, x in enumerate(t.split("\n")) if j not in g), len(g)))
+    return out
+
+
+@pytest.mark.parametrize("rows", [
+    # lines of one doc_id in several rows, and of rows without one: a place decides for its own row only
+    [(4, "repeated line number one is here"), (5, "repeated line number one is here\nsecond of the first row"), (5, "unique line number one is here\nsecond of the other row")],
+    [(None, "first of a row without id\nsecond of a row without id"), (None, "something else in the other row")],
+    [(1, "some text of a row that stands twice"), (1, "some text of a row that stands twice"), (2, "some text of a row that stands twice")],
+    # the same words in another order don't hide a true neighbour
+    [(1, "the dog and the cat and the fox"), (2, "the cat and the dog and the fox"), (3, "the cat and the dog and the fix"), (4, "the dog and the cat and the fob")],
+    [(1, "a b a c a d a e a f a g a h"), (2, "a c a b a d a e a f a g a h"), (3, "a c a ba d a e a f a g a h"), (4, "a c a b a d a e a f a g a hh"), (5, "a b a c a d a e a f a g ah")],
+])
+def test_lines_of_shared_ids_and_hidden_neighbours(spark, rows):
+    got = lines.without_repeats(frame(spark, [(i, t, "s") for i, t in rows])).select("doc_id", "text", "n_removed")
+    assert sorted(table(got), key=repr) == sorted(plain_lines(rows), key=repr)
+
+
+def test_lines_of_few_words_in_any_order(spark):
+    rng = random.Random(4)
+    pool = [" ".join(rng.sample(["ab", "ac", "ab", "ad", "ac", "ae", "b", "ab"], 8)) for _ in range(25)]
+    rows = []
+    for i in range(120):
+        line = rng.choice(pool)
+        k = rng.randrange(len(line))
+        rows.append((i, rng.choice([line[:k] + line[k + 1 :], line[:k] + rng.choice("abx ") + line[k + 1 :], line[:k] + rng.choice("abx") + line[k:]])))
+    got = lines.without_repeats(frame(spark, [(i, t, "s") for i, t in rows])).select("doc_id", "text", "n_removed")
+    want = plain_lines(rows)
+    assert sorted(table(got)) == sorted(want) and 0 < sum(n for _, _, n in want) < 120
+
+
 # --- chains
 
 
