@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from ..sources.tables import stage
 
 BATCH_ROWS = 1000  # rows handed to Python at once: texts and bitmaps are large
+BATCH_BYTES = 8 << 20  # and their bytes
 CHUNK_BYTES = 1 << 20  # text handled at once inside a Python task
 
 _SPACE = np.zeros(256, bool)
@@ -26,10 +28,20 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand fewer rows at once to Python in this session, unless it already asks for as few."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Hand fewer rows and bytes at once to Python in this session, unless it already asks for as few."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(re.sub(r"\D", "", spark.conf.get(name)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
+def given_back(*staged: DataFrame) -> None:
+    """Empty the files of staged tables that nothing reads any more, so that they don't fill the shared folder."""
+    for df in staged:
+        files = df.inputFiles()
+        if files:
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -166,7 +178,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = large.filter("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         step = large.join(small, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("p"))
-        now = stage(step.select(F.col("p.b").alias("a"), F.col("p.m").alias("b")).filter("a <> b").distinct(), name)
+        last, now = now, stage(step.select(F.col("p.b").alias("a"), F.col("p.m").alias("b")).filter("a <> b").distinct(), name)
+        given_back(last)
         state = now.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first()
         if state == before:
             break

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import stage
-from .common import chunked, components, has_columns, likely_in, mix, shingles, words_of
+from .common import chunked, components, given_back, has_columns, likely_in, mix, shingles, words_of
 
 SKETCH = 1 << 17   # counters of the shingle sketch
 HEAVY = 4          # deviations above the mean count from which a counter makes its shingles common
@@ -157,7 +157,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
 
     both = pairs.join(sets.select(F.col("set_key").alias("a"), F.col("values").alias("x")), "a")
     both = both.join(sets.select(F.col("set_key").alias("b"), F.col("values").alias("y")), "b")
-    return stage(both.mapInPandas(decide, "a bigint, b bigint, linked boolean"), "jaccard_links")
+    links = stage(both.mapInPandas(decide, "a bigint, b bigint, linked boolean"), "jaccard_links")
+    given_back(wanted, sets)  # whole sets: much more than the links they decide
+    return links
 
 
 def _tiles(rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -240,9 +242,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     # here only pairs that meet in a tenth of their prefixes: this step need not find all
     pairs = star.filter("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("met"), F.max("n").alias("n"))
     pairs = pairs.filter(F.col("met") * 1000 >= F.col("n") * (100 - percent)).select("a", "b")
-    first = _verified(stage(_passing(pairs, reps, percent), "jaccard_pairs"), docs, reps, size, percent)
-
-    links = first
+    links = _verified(stage(_passing(pairs, reps, percent), "jaccard_pairs"), docs, reps, size, percent)
     for nearest in (True, False):
         near = stage(components(links.filter("linked").select("a", "b"), "jaccard_near"), "jaccard_near")
         known = grouped.select("token", "set_key", "n").join(near.withColumnRenamed("node", "set_key"), "set_key", "left")

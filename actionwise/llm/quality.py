@@ -168,14 +168,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_train: int = MAX_T
     return fit(stats, rows[label].to_numpy(float), **options)
 
 
-def scored(docs: DataFrame, model: Trees) -> DataFrame:
-    """All columns of the documents and `score`, the chance of label 1."""
+def scored(docs: DataFrame, model: Trees, inside: str | None = None) -> DataFrame:
+    """All columns of the documents and `score`, the chance of label 1. The text is a column, or a field of the struct `inside`."""
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            parts = [model.scores(statistics(part)) for _, part in chunked(texts)]
+            column = batch.column(batch.schema.get_field_index(inside or "text"))
+            texts = column.field("text") if inside else column
+            parts = [model.scores(statistics(part)) for _, part in chunked(texts.to_pylist())]
             score = pa.array(np.concatenate(parts) if parts else np.empty(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "score"])
 
@@ -201,5 +202,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAI
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_train: int = MAX_TRAIN) -> DataFrame:
     """Documents whose score reaches the threshold, with their own columns."""
-    plain = docs.select(F.struct("*").alias("_doc"), "text")
-    return scored(plain, quality_model(docs, labels, max_train)).filter(F.col("score") >= threshold).select("_doc.*")
+    rows = docs.select(F.struct("*").alias("_doc"))  # the text goes to Python once, with its row
+    return scored(rows, quality_model(docs, labels, max_train), "_doc").filter(F.col("score") >= threshold).select("_doc.*")
