@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, deciles, distributions, metrics, population, quantiles, ranking, scoring, training, trees
 from ..sources.registry import latest_models, latest_uris, load_model, registry_row, save_model
-from ..sources.tables import scan, stage, staging_dir
+from ..sources.registry import model_history as registry_history
+from ..sources.tables import read_as_of, scan, stage, staging_dir, write_dated
+from ..sources.tables import snapshot_history as history_of
 from ..sources.tables import survivability_table as modifier_table
 from ..specs import KEY, FeatureSpec, TrainSpec, model_actions, scored_actions
 from . import starschema as star
@@ -123,6 +126,47 @@ def latest_model(spark, sf):
     return latest_models(registry)
 
 
+@query
+def model_history(spark, sf):
+    """Champions of a history derived from the orders: one version per order, its total price standing for its quality."""
+    history = scan(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("model_name"),
+        F.col("o_orderstatus").alias("version"),
+        F.concat(F.lit("models/"), F.col("o_orderkey").cast("string")).alias("s3_uri"),
+        F.to_date("o_orderdate").alias("trained_at"),
+        F.struct((F.col("o_totalprice") / 1e6).alias("auc")).alias("metrics"),
+    )
+    return registry_history(history).select("model_name", "s3_uri", "trained_at", "value", "best_before", "gain", "took_over", "is_champion")
+
+
+SNAPSHOT_DAYS = (date(2001, 1, 1), date(2001, 4, 1), date(2001, 7, 1))
+
+
+def _snapshots(spark: SparkSession, sf: str) -> str:
+    """A folder of dated snapshots of the orders per customer so far; the middle day is written twice, the second time right."""
+    path = f"{staging_dir(spark)}/orders-{uuid.uuid4().hex}"
+    orders = scan(spark, sf, "orders")
+
+    def so_far(day: date) -> DataFrame:
+        past = orders.filter(F.col("o_orderdate") < F.lit(day))
+        return past.groupBy(F.col("o_custkey").alias(KEY)).agg(F.count(F.lit(1)).alias("n_orders"))
+
+    write_dated(so_far(SNAPSHOT_DAYS[0]), path, SNAPSHOT_DAYS[1])
+    for day in SNAPSHOT_DAYS:
+        write_dated(so_far(day), path, day)
+    return path
+
+
+@query
+def snapshot_history(spark, sf):
+    return history_of(spark, _snapshots(spark, sf))
+
+
+@query
+def snapshot_as_of(spark, sf):
+    return read_as_of(spark, _snapshots(spark, sf), date(2001, 5, 15))
+
+
 # --- population and cleaning -----------------------------------------------------------------------------------------
 
 

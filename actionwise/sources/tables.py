@@ -36,6 +36,35 @@ def write_snapshot(df: DataFrame, table: str, as_of: date | None = None, buckets
     writer.saveAsTable(table)
 
 
+def write_dated(df: DataFrame, path: str, as_of: date) -> None:
+    """Write the snapshot of a day into its own partition of a folder; other days stay, the day's older state is replaced.
+
+    Only the partitions written are replaced, and only when all tasks have committed: a job that fails leaves the day as it was.
+    A day may also be replaced by an empty snapshot.
+    """
+    day = f"{path.rstrip('/')}/snapshot_date={as_of.isoformat()}"
+    rows = df.drop("snapshot_date")
+    held = stage(rows, "snapshot")  # computed in full, and checked, before anything of the day is touched
+    if held.isEmpty():
+        held.coalesce(1).write.mode("overwrite").parquet(day)
+    else:
+        dated = held.withColumn("snapshot_date", F.lit(as_of))
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
+
+
+def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
+    """All snapshots of a folder with their `snapshot_date`; a column that an older one lacks is NULL there."""
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    return rows.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+
+
+def read_as_of(spark: SparkSession, path: str, as_of: date) -> DataFrame:
+    """The newest snapshot not later than a day; only its partition is read. Without one, an empty table."""
+    history = snapshot_history(spark, path)
+    newest = history.filter(F.col("snapshot_date") <= F.lit(as_of)).agg(F.max("snapshot_date")).scalar()
+    return history.filter(F.col("snapshot_date") == newest)
+
+
 def survivability_table(spark: SparkSession, modifiers: dict[str, float] = MODIFIERS) -> DataFrame:
     """(action, modifier), one row per action: a literal relation, known in full to the optimizer."""
     rows = ", ".join(f"('{action}', {modifier!r}D)" for action, modifier in modifiers.items())

@@ -284,6 +284,15 @@ def oracles() -> dict[str, str]:
   CAST(o_orderdate AS DATE) AS snapshot_date, row_number() OVER (PARTITION BY o_orderpriority
   ORDER BY CAST(o_orderdate AS DATE) DESC, 'models/' || CAST(o_orderkey AS VARCHAR) DESC) AS row FROM orders) WHERE row = 1"""
 
+    out["model_history"] = """SELECT model_name, s3_uri, trained_at, value, best_before, value - best_before AS gain, best_before IS NULL OR value > best_before AS took_over,
+  row_number() OVER (PARTITION BY model_name ORDER BY value DESC, trained_at, version, s3_uri) = 1 AS is_champion FROM
+  (SELECT *, max(value) OVER (PARTITION BY model_name ORDER BY trained_at, version, s3_uri ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM
+  (SELECT o_orderpriority AS model_name, o_orderstatus AS version, 'models/' || CAST(o_orderkey AS VARCHAR) AS s3_uri,
+  CAST(o_orderdate AS DATE) AS trained_at, o_totalprice / CAST(1000000 AS DOUBLE) AS value FROM orders))"""
+    day = "SELECT o_custkey AS id, count(*) AS n_orders, DATE '{0}' AS snapshot_date FROM orders WHERE o_orderdate < TIMESTAMP '{0}' GROUP BY 1"
+    out["snapshot_history"] = " UNION ALL ".join(day.format(d) for d in ("2001-01-01", "2001-04-01", "2001-07-01"))
+    out["snapshot_as_of"] = day.format("2001-04-01")
+
     out["user_features"] = profile + f"SELECT id, {feature_columns} FROM profile"
     out["user_flags"] = profile + f"SELECT id, {flags} FROM profile"
     out["feature_set_projection"] = profile + f"SELECT id, {_cols(MODEL_FEATURES)}, {FLAG} FROM profile"

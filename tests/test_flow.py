@@ -79,6 +79,74 @@ def test_registry(spark, trained):
     assert rows["recurring_action"]["params"] == {"maxIter": "5", "maxDepth": "2", "stepSize": "0.1"}
 
 
+def test_history_holds_the_quality_of_each_model(spark, trained):
+    rows = {r["model_name"]: r for r in spark.table(f"{DB}.models_history").collect()}
+    assert set(rows) == {"recurring_action", "auto_transport"}
+    row, result = rows["recurring_action"], trained["recurring_action"]
+    want = result.performance.first().asDict() | {"auc": result.auc.first()["auc"]}
+    assert row["metrics"].asDict() == {c: want[c] for c in registry.METRICS}
+    assert [tuple(g) for g in row["grid"]] == sorted(map(tuple, result.grid.collect()))
+    assert row["importance"] == {r["feature"]: r["importance"] for r in result.importance.collect()}
+    assert 0 < len(row["curve"]) <= train.CURVE_BINS + 1
+    assert registry.champion_uris(spark.table(f"{DB}.models_history"), ["recurring_action"]) == {"recurring_action": result.uri}
+
+
+def test_champion_and_challengers(spark):
+    values = [(1, 0.7), (2, 0.6), (3, None), (4, 0.8), (5, 0.8), (6, 0.9)]
+    history = spark.createDataFrame([("m", f"V{k}", f"u{k}", datetime(2024, 1, k), (v,)) for k, v in values], "model_name string, version string, s3_uri string, trained_at timestamp, metrics struct<auc:double>")
+    got = {r["version"]: (r["took_over"], r["is_champion"]) for r in registry.model_history(history.filter("version <> 'V6'")).collect()}
+    assert got == {"V1": (True, False), "V2": (False, False), "V3": (False, False), "V4": (True, True), "V5": (False, False)}
+    assert registry.champion_uris(history, ["m", "other"]) == {"m": "u6"}
+
+
+def test_pool_goes_on_after_a_failure_and_resumes(spark, users, trained, tmp_path):
+    names = ["recurring_action", "auto_transport", "small_action"]
+    targets.generate_targets(users, starschema.BY_NAME["small_action"], DB, starschema.VENDOR_CODES, AS_OF)
+    ran, broken = [], {"auto_transport"}
+
+    def one(spark_, action, *args, **more):
+        ran.append((action.name, spark.sparkContext.getLocalProperty("spark.scheduler.pool")))
+        if action.name in broken:
+            raise RuntimeError("no luck")
+        return train.train_action(spark_, action, *args, **more)
+
+    run = lambda: train.train_pool(
+        spark, starschema.ACTIONS, DB, str(tmp_path), f"{DB}.pool", names, QUICK, starschema.VENDOR_CODES, workers=3, one=one
+    )
+    first = run()
+    assert set(first.trained) == {"recurring_action", "small_action"} and not first.resumed
+    assert {n: str(e) for n, e in first.failed.items()} == {"auto_transport": "no luck"}
+    assert sorted(ran) == sorted((n, f"train-{n}") for n in names)
+    ran.clear()
+    broken.clear()
+    second = run()
+    assert [n for n, _ in ran] == ["auto_transport"] == list(second.trained) and not second.failed
+    assert second.resumed == {n: r.uri for n, r in first.trained.items()}
+    assert sorted(r["model_name"] for r in spark.table(f"{DB}.pool").collect()) == sorted(names)
+    ran.clear()
+    assert not run().trained and not ran
+
+
+def test_dated_snapshots(spark, tmp_path):
+    path, days = str(tmp_path / "dated"), [date(2024, 1, 1), date(2024, 1, 5), date(2024, 2, 1)]
+    frame = lambda *rows: spark.createDataFrame(list(rows), "id long, c string")
+    state = lambda day: sorted(tuple(r)[:2] for r in tables.read_as_of(spark, path, day).collect())
+    tables.write_dated(frame((1, "a"), (2, "b")), path, days[0])
+    tables.write_dated(frame((1, "x")), path, days[1])
+    tables.write_dated(frame((1, "y"), (3, "z")), path, days[1])  # again: the day is replaced, the other stays
+    assert state(days[0]) == [(1, "a"), (2, "b")] == state(date(2024, 1, 4)) and state(days[1]) == [(1, "y"), (3, "z")]
+    assert state(date(2023, 12, 31)) == []
+    broken = frame((7, "q")).withColumn("c", F.raise_error(F.lit("no luck")))
+    with pytest.raises(Exception, match="no luck"):
+        tables.write_dated(broken, path, days[1])
+    assert state(days[1]) == [(1, "y"), (3, "z")]
+    tables.write_dated(frame((9, "w")).withColumn("d", F.lit(2.0)), path, days[2])  # a column more
+    assert {(r["id"], r["d"]) for r in tables.snapshot_history(spark, path).collect()} == {(1, None), (2, None), (3, None), (9, 2.0)}
+    assert tables.snapshot_history(spark, path).count() == 5
+    tables.write_dated(frame((1, "a")).limit(0), path, days[1])
+    assert tables.snapshot_history(spark, path).filter(F.col("snapshot_date") == days[1]).count() == 0
+
+
 def test_stored_model_predicts_the_same(spark, users, trained):
     coded = deploy.coded_actions([RECURRING], starschema.VENDOR_CODES)[0]
     people = deploy.vendor_rename(users, starschema.VENDOR_CODES)
