@@ -9,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,6 +33,29 @@ def string_indexer(features: FeatureSpec) -> StringIndexer:
     )
 
 
+def frequent_values(df: DataFrame, column: str, most: int) -> list[str]:
+    """The `most` most frequent values, ties in alphabetical order; NULL is none. Counted with map-side combine, and only these reach the driver."""
+    counts = df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).filter("value IS NOT NULL")
+    return [r["value"] for r in counts.orderBy(F.desc("n"), "value").limit(most).collect()]
+
+
+def bounded_indexers(df: DataFrame, features: FeatureSpec, most: int) -> list[StringIndexerModel]:
+    """Indexes by frequency for at most `most` values per categorical; rare, unknown and missing ones share the next index.
+
+    So a categorical of any size has no more than most + 1 indexes, and trees with as many bins never fail on it. Up to `most` values
+    the result is that of `string_indexer`. A column without any value has the empty text as its only one.
+    """
+    return [
+        StringIndexerModel.from_labels(frequent_values(df, c, most) or [""], inputCol=c, outputCol=f"{c}_index", handleInvalid="keep")
+        for c in features.categorical
+    ]
+
+
+def indexed(df: DataFrame, features: FeatureSpec, most: int) -> DataFrame:
+    """The rows with `<categorical>_index`."""
+    return PipelineModel(stages=bounded_indexers(df, features, most)).transform(df)
+
+
 def assembler(features: FeatureSpec) -> VectorAssembler:
     """Indexed categoricals, then numerics; incomplete rows pass through and are masked after scoring."""
     inputs = [f"{c}_index" for c in features.categorical] + list(features.numeric)
@@ -101,11 +124,10 @@ class SearchResult:
     model: PipelineModel
 
 
-def fold_vectors(folded: DataFrame, features: FeatureSpec, fold: int) -> tuple[DataFrame, DataFrame]:
+def fold_vectors(folded: DataFrame, features: FeatureSpec, fold: int, spec: TrainSpec = TrainSpec()) -> tuple[DataFrame, DataFrame]:
     """Stored vectors of the rows outside a fold, and of those inside as arrays; indexers know the outer rows only."""
     outer, inner = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-    indexers = [string_indexer(features)] if features.categorical else []
-    prepare = Pipeline(stages=[*indexers, assembler(features)]).fit(outer)
+    prepare = Pipeline(stages=[*bounded_indexers(outer, features, spec.max_bins - 1), assembler(features)]).fit(outer)
     left = stage(prepare.transform(outer).select("target", "features"), f"fold-{fold}")
     return left, prepare.transform(inner).select("target", vector_to_array("features").alias("x"))
 
@@ -118,7 +140,7 @@ def staged_scores(folded: DataFrame, features: FeatureSpec, spec: TrainSpec) ->
     fold; the fits run `parallelism` at a time; all scores come from one pass over the rows.
     """
     session = folded.sparkSession
-    vectors = {fold: fold_vectors(folded, features, fold) for fold in range(spec.folds)}
+    vectors = {fold: fold_vectors(folded, features, fold, spec) for fold in range(spec.folds)}
     gbt = classifier(spec)
     points = [(fold, depth, step) for fold in vectors for depth in spec.max_depth for step in spec.step_size]
 
@@ -157,8 +179,8 @@ def staged_search(train: DataFrame, features: FeatureSpec, spec: TrainSpec) -> S
     rows = [tuple(r) for r in grid.collect()]  # one row per grid point
     rows += [(*p, None) for p in ((i, d, s) for i in spec.max_iter for d in spec.max_depth for s in spec.step_size) if p not in {r[:3] for r in rows}]
     best = max(rows, key=lambda r: (-1.0 if r[3] is None else r[3], -r[0], -r[1], -r[2]))
-    pipeline = build_pipeline(features, spec)
-    gbt = pipeline.getStages()[-1]
+    gbt = classifier(spec)
+    pipeline = Pipeline(stages=[*bounded_indexers(train, features, spec.max_bins - 1), assembler(features), gbt])
     model = pipeline.fit(train, dict(zip((gbt.maxIter, gbt.maxDepth, gbt.stepSize), best)))
     table = session.createDataFrame(rows, "max_iter int, max_depth int, step_size double, auc double")
     return SearchResult(table, dict(zip(names, best)), model)

@@ -82,7 +82,8 @@ def tree_table(model: PipelineModel, features: FeatureSpec) -> TreeTable:
     labels: dict[str, list[str]] = {}
     for stage in model.stages:
         if isinstance(stage, StringIndexerModel):
-            labels |= {c: list(own) for c, own in zip(stage.getInputCols(), stage.labelsArray)}
+            names = stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
+            labels |= {c: list(own) for c, own in zip(names, stage.labelsArray)}
     spark = SparkSession.active()
     rows = [(k, name, labels.get(name)) for k, name in enumerate(features.columns)]
     return TreeTable(ensemble_nodes(model.stages[-1]), spark.createDataFrame(rows, FEATURES))

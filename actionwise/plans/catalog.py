@@ -17,6 +17,7 @@ from ..sources.tables import snapshot_history as history_of
 from ..sources.tables import survivability_table as modifier_table
 from ..specs import KEY, FeatureSpec, TrainSpec, model_actions, scored_actions
 from . import starschema as star
+from . import userstate
 from .deploy import user_level_scores as score_table
 from .targets import class_tables, training_population
 from .train import training_data, tree_path
@@ -180,6 +181,30 @@ def user_flags(spark, sf):
     return star.load_profile(spark, sf).select(KEY, *[a.flag for a in star.ACTIONS])
 
 
+@query
+def profiles_from_state(spark, sf):
+    """Profiles of the eligible users at two cutoffs, both merged from one stored state per user and day."""
+    customer, orders = scan(spark, sf, "customer"), scan(spark, sf, "orders")
+    path = f"{staging_dir(spark)}/state-{uuid.uuid4().hex}"
+    userstate.write_state(userstate.daily_state(orders, scan(spark, sf, "lineitem")), path)
+    users = stage(star.raw_users(customer, orders), "users")
+    rows = None
+    for period in (star.Period(date(2000, 7, 1), date(2001, 1, 1)), PERIOD):
+        eligible = population.eligible_users(users, period.as_of, ELIGIBLE_DAYS)
+        state = userstate.read_state(spark, path, period.as_of.isoformat())
+        own = userstate.profile_at(customer, state, period, eligible).withColumn("cutoff", F.lit(period.cutoff))
+        rows = own if rows is None else rows.unionByName(own)
+    return star.mark_sentinel(rows).select("cutoff", KEY, *star.FEATURE_COLUMNS, *[a.flag for a in star.ACTIONS])
+
+
+@query
+def indexed_features(spark, sf):
+    """Frequency indexes of a small and a larger categorical; from the fifth value on all share one."""
+    spec = FeatureSpec(("c_mktsegment", "nation"), ())
+    users = scan(spark, sf, "customer").select(F.col("c_custkey").alias(KEY), "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"))
+    return training.indexed(users, spec, 4).select(KEY, "c_mktsegment_index", "nation_index")
+
+
 @query
 def feature_set_projection(spark, sf):
     return cleaning.project_features(star.load_profile(spark, sf), RECURRING.features, RECURRING.flag)

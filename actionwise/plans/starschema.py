@@ -115,10 +115,15 @@ def user_profile(
     if eligible is not None:
         customer = customer.join(eligible.select(F.col(KEY).alias("c_custkey")), "c_custkey", "left_semi")
         orders = orders.join(eligible.select(F.col(KEY).alias("o_custkey")), "o_custkey", "left_semi")
+    return profile_of(customer, user_activity(orders, lineitem, period), period)
+
+
+def profile_of(customer: DataFrame, activity: DataFrame, period: Period) -> DataFrame:
+    """Features and flags of the customers from what is counted per user."""
     accounts = customer.select(
         F.col("c_custkey").alias(KEY), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("acctbal")
     )
-    wide = accounts.join(user_activity(orders, lineitem, period), KEY, "left").fillna(0, subset=COUNTS)
+    wide = accounts.join(activity, KEY, "left").fillna(0, subset=COUNTS)
     cutoff = f"DATE'{period.cutoff}'"
     features = {
         "segment": "segment",

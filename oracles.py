@@ -293,6 +293,21 @@ def oracles() -> dict[str, str]:
     out["snapshot_history"] = " UNION ALL ".join(day.format(d) for d in ("2001-01-01", "2001-04-01", "2001-07-01"))
     out["snapshot_as_of"] = day.format("2001-04-01")
 
+    moved = lambda sql: sql.replace("2001-01-01", "2000-07-01").replace("2001-07-01", "2001-01-01")
+    at = _with(PROFILE, USERS) + (
+        f"SELECT DATE '2001-01-01' AS cutoff, profile.id, {feature_columns}, {flags} FROM profile JOIN users USING (id) "
+        "WHERE CAST(verified_at AS DATE) >= DATE '2001-07-01' - 2000 AND (closed_at IS NULL OR closed_at > TIMESTAMP '2001-07-01')"
+    )
+    out["profiles_from_state"] = f"SELECT * FROM ({moved(at)}) UNION ALL SELECT * FROM ({at})"
+    indexes = [
+        f"(SELECT {c}, least(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1, 4) AS i FROM customer GROUP BY 1) {a}"
+        for c, a in (("c_mktsegment", "a"), ("c_nationkey", "b"))
+    ]
+    out["indexed_features"] = (
+        "SELECT c_custkey AS id, CAST(a.i AS DOUBLE) AS c_mktsegment_index, CAST(b.i AS DOUBLE) AS nation_index FROM customer "
+        f"JOIN {indexes[0]} USING (c_mktsegment) JOIN {indexes[1]} USING (c_nationkey)"
+    )
+
     out["user_features"] = profile + f"SELECT id, {feature_columns} FROM profile"
     out["user_flags"] = profile + f"SELECT id, {flags} FROM profile"
     out["feature_set_projection"] = profile + f"SELECT id, {_cols(MODEL_FEATURES)}, {FLAG} FROM profile"
