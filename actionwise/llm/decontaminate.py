@@ -1,20 +1,23 @@
 """Benchmark decontamination by templates: finds benchmark items in documents, re-parameterised ones too.
 
-Numbers, names and units of measure become typed placeholders; `size` words of such a template in a row are a window. Windows of documents are joined
-with those of the benchmark by hash (Spark broadcasts the benchmark's while they are small, and shuffles beyond). Where a document holds
-enough of an item, its slots are checked: along one alignment, the same value of the item must always stand for the same value in
-the document. Windows of alignments that break this rule don't count. An item is found when the remaining windows cover
+Numbers, names and units of measure become typed placeholders; `size` words of such a template in a row are a window, and an item of fewer words is one
+window as a whole. Windows of documents are joined with those of the benchmark by hash (Spark broadcasts the benchmark's while they are small, and
+shuffles beyond). A window of placeholders alone is no template, as any list of names or numbers would match it: its key holds its values too. Where a
+document holds enough of an item, its slots are checked: along one alignment, the same value of the item must always stand for the same value in the
+document, and the other way round. Windows of alignments that break this rule don't count. An item is found when the remaining windows cover
 `percent` of its words.
 
 Everything is a DataFrame operation. A token with a digit is a number; a capitalised token that doesn't follow the end of a sentence
 is a name; a word of UNITS after a number is a unit. Case and punctuation don't matter otherwise.
 
-NULL and empty texts hold nothing. Items of fewer than `size` words are too short to tell and never found. Repeated items are each found. Rows
+NULL and empty texts, and texts of signs alone, hold nothing and are never found. Repeated items are each found. Rows
 of `documents` without doc_id can't be reported and are left alone. Extra columns take no part.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +34,9 @@ UNITS = (
 GAP, INK = r"[\x09-\x0D\x20]", r"[^\x09-\x0D\x20]"
 NAME = (rf"({INK[:-1]}.!?:;]{GAP})\p{{Lu}}{INK}*", "0n")
 NUMBER = (rf"(^|{GAP}){INK[:-1]}0-9]*[0-9]{INK}*", "0")
+NUMBER_AHEAD = rf"(?<!{INK})(?={INK}*[0-9]){INK}*+"  # the same words: four times as fast, but not every engine looks around
 SIGNS = rf"[^\p{{L}}\p{{N}}{GAP[1:-1]}]+"
+SLOTS = ("0", "0n", "0u")
 UNIT = (rf"((?:^|{GAP})0{GAP})(?:{'|'.join(UNITS)})({GAP}|$)", "0u")
 
 
@@ -40,7 +45,7 @@ def canonical(text: Column) -> Column:
 
     Names are replaced twice, as neighbouring names share the character that is looked at.
     """
-    out = F.regexp_replace(text, F.lit(NUMBER[0]), F.lit("$1" + NUMBER[1]))
+    out = F.regexp_replace(text, F.lit(NUMBER_AHEAD), F.lit(NUMBER[1]))
     for _ in range(2):
         out = F.regexp_replace(out, F.lit(NAME[0]), F.lit("$1" + NAME[1]))
     out = F.regexp_replace(F.lower(out), F.lit(SIGNS), F.lit(""))
@@ -48,29 +53,47 @@ def canonical(text: Column) -> Column:
 
 
 def template_words(text: str) -> Column:
-    return F.filter(F.split(canonical(F.coalesce(F.col(text), F.lit(""))), GAP), lambda w: w != "")
+    """Array of (raw, form): the words as they stand and in the template."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return F.filter(F.arrays_zip(F.split(whole, GAP).alias("raw"), F.split(canonical(whole), GAP).alias("form")), lambda x: x["form"] != "")
+
+
+def value(raw: Column) -> Column:
+    return F.regexp_replace(F.lower(raw), F.lit(rf"^{SIGNS}|{SIGNS}$"), F.lit(""))
+
+
+def windows(df: DataFrame, key: str, sizes: Sequence[int], place: str) -> DataFrame:
+    """(key, place, hash) of every window of these sizes.
+
+    The generator is an outer one: for an inner one Spark infers a filter on its array, and pushes it to the scan, where the template is made once more.
+    """
+    words = df.select(key, template_words("text").alias("both")).select(key, F.col("both.form").alias("form"), F.col("both.raw").alias("raw"))
+    slot = lambda w: w.isin(*SLOTS)
 
+    def window(n: int):
+        def one(i: Column) -> Column:
+            part = F.slice("form", i, F.lit(n))
+            bare = slot(F.element_at("form", i)) & F.forall(part, slot)  # the first word decides nearly always
+            own = F.xxhash64(part, F.transform(F.slice("raw", i, F.lit(n)), value))
+            return F.struct((i - 1).alias(place), F.when(bare, own).otherwise(F.xxhash64(part)).alias("hash"))
 
-def windows(df: DataFrame, key: str, size: int, place: str) -> DataFrame:
-    """(key, place, hash) of every window; `words` is read twice, which keeps Spark from making it again per window."""
-    words = df.select(key, template_words("text").alias("words"))
-    hashes = F.expr(f"transform(sequence(1, size(words) - {size - 1}), i -> xxhash64(slice(words, i, {size})))")
-    return words.filter(F.size("words") >= size).select(key, F.posexplode(hashes).alias(place, "hash"))
+        return one
+
+    none = F.array().cast("array<int>")
+    each = [F.transform(F.when(F.size("form") >= n, F.sequence(F.lit(1), F.size("form") - (n - 1))).otherwise(none), window(n)) for n in sizes]
+    shown = words.select(key, F.explode_outer(F.concat(*each) if len(each) > 1 else each[0]).alias("w"))
+    return shown.select(key, f"w.{place}", "w.hash").filter("hash IS NOT NULL")
 
 
 def slots(df: DataFrame, key: str, place: str, word: str, kind: str) -> DataFrame:
     """(key, place, word, kind) of each placeholder: the text that stands there and its type."""
-    raw = F.split(F.coalesce(F.col("text"), F.lit("")), GAP)
-    both = df.select(key, F.arrays_zip(raw.alias("raw"), F.split(canonical(F.coalesce(F.col("text"), F.lit(""))), GAP).alias("form")).alias("both"))
-    shown = both.select(key, F.posexplode(F.filter("both", lambda x: x["form"] != "")).alias(place, "x"))
-    shown = shown.filter(F.col("x.form").isin("0", "0n", "0u"))
-    value = F.regexp_replace(F.lower("x.raw"), F.lit(rf"^{SIGNS}|{SIGNS}$"), F.lit(""))
-    return shown.select(key, place, value.alias(word), F.col("x.form").alias(kind))
+    shown = df.select(key, F.posexplode_outer(template_words("text")).alias(place, "x")).filter(F.col("x.form").isin(*SLOTS))
+    return shown.select(key, place, value(F.col("x.raw")).alias(word), F.col("x.form").alias(kind))
 
 
-def covered(places: Column, size: int) -> Column:
+def covered(places: Column, size: Column) -> Column:
     """Words under windows at these places (an ascending array)."""
-    step = F.transform(places, lambda x, i: F.when(i == 0, size).otherwise(F.least(F.lit(size), x - F.try_element_at(places, i))))
+    step = F.transform(places, lambda x, i: F.when(i == 0, size).otherwise(F.least(size, x - F.try_element_at(places, i))))
     return F.aggregate(step, F.lit(0), lambda a, x: a + x)
 
 
@@ -82,14 +105,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int =
     docs = has_columns(docs, ["doc_id", "text"]).filter("doc_id IS NOT NULL")
     items = has_columns(benchmark, ["item_id", "text"]).filter("item_id IS NOT NULL").distinct()
     lengths = items.select("item_id", F.size(template_words("text")).alias("n_words"))
-    item_windows = stage(windows(items, "item_id", size, "at"), "template_windows")
-    hits = windows(docs, "doc_id", size, "place").join(item_windows, "hash").select("doc_id", "item_id", "at", (F.col("place") - F.col("at")).alias("shift"))
+    lengths = stage(lengths.filter("n_words > 0"), "template_lengths")
+    short = [r[0] for r in lengths.filter(F.col("n_words") < size).select("n_words").distinct().collect()]  # fewer than `size` numbers
+    cut = windows(items, "item_id", [size], "at")
+    for n in short:  # an item of fewer words is one window
+        cut = cut.unionByName(windows(items.join(lengths.filter(F.col("n_words") == n), "item_id", "left_semi"), "item_id", [n], "at"))
+    item_windows = stage(cut, "template_windows")
+    hits = windows(docs, "doc_id", [size, *short], "place").join(item_windows, "hash").select("doc_id", "item_id", "at", (F.col("place") - F.col("at")).alias("shift"))
     hits = stage(hits.distinct(), "template_hits")
 
     def enough(found: DataFrame) -> DataFrame:
         """Pairs with enough words under their windows; the places are bounded by the length of an item."""
         per = found.groupBy("doc_id", "item_id").agg(F.array_sort(F.collect_set("at")).alias("places")).join(lengths, "item_id")
-        per = per.select("doc_id", "item_id", "n_words", covered(F.col("places"), size).alias("n_covered"))
+        per = per.select("doc_id", "item_id", "n_words", covered(F.col("places"), F.least(F.lit(size), F.col("n_words"))).alias("n_covered"))
         return per.filter(F.col("n_covered") * 100 >= percent * F.col("n_words"))
 
     likely = stage(enough(hits).select("doc_id", "item_id"), "template_pairs")
@@ -100,8 +128,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int =
     under = near.select("doc_id", "item_id", "shift", F.explode(F.expr(f"sequence(at, at + {size - 1})")).alias("item_at")).distinct()
     aligned = under.join(theirs, ["item_id", "item_at"]).withColumn("place", F.col("item_at") + F.col("shift")).join(ours, ["doc_id", "place"])
     aligned = aligned.filter("kind = item_kind")
-    meant = aligned.groupBy("doc_id", "item_id", "shift", "kind", "item_word").agg(F.count_distinct("doc_word").alias("values"))
-    broken = meant.filter("values > 1").select("doc_id", "item_id", "shift").distinct()
+
+    def two_fold(one: str, other: str) -> DataFrame:
+        """Alignments where a value of one side stands for several of the other."""
+        meant = aligned.groupBy("doc_id", "item_id", "shift", "kind", one).agg((F.min(other) < F.max(other)).alias("differ"))
+        return meant.filter("differ").select("doc_id", "item_id", "shift")
+
+    broken = two_fold("item_word", "doc_word").unionByName(two_fold("doc_word", "item_word")).distinct()
     sound = near.join(broken, ["doc_id", "item_id", "shift"], "left_anti")
     told = aligned.join(broken, ["doc_id", "item_id", "shift"], "left_anti").groupBy("doc_id", "item_id").agg(
         F.count_distinct("item_at").alias("n_slots"),
@@ -138,17 +171,22 @@ def matches_sql(size: int = 5, percent: int = 80, docs: str = "documents", bench
     def shown(table: str, key: str) -> str:
         return f"SELECT {key}, unnest(range(len(words))) AS place, unnest(words) AS word FROM {table}"
 
-    def wins(table: str, key: str) -> str:
-        return f"""SELECT {key}, unnest(range(len(words) - {size - 1})) AS place,
-                          unnest([[x[2] for x in words[i + 1:i + {size}]] for i in range(len(words) - {size - 1})]) AS win
-                   FROM {table} WHERE len(words) >= {size}"""
-
-    cover = f"""SELECT doc_id, item_id, count(DISTINCT spot + k) AS n_covered FROM %s, range({size}) r(k) GROUP BY ALL"""
+    bare = "list_bool_and([x[2] IN ('0', '0n', '0u') for x in w])"
     value = lambda c: f"regexp_replace(lower({c}[1]), '^{q(SIGNS)}|{q(SIGNS)}$', '', 'g')"
+    template = f"CASE WHEN {bare} THEN ['='] || [x[2] for x in w] || [{value('x')} for x in w] ELSE [x[2] for x in w] END"
+
+    def wins(table: str, key: str, n: str) -> str:
+        return f"""SELECT {key}, place, {template} AS win FROM (
+                     SELECT {key}, unnest(range(len(words) - {n} + 1)) AS place, unnest([words[i + 1:i + {n}] for i in range(len(words) - {n} + 1)]) AS w
+                     FROM {table} WHERE len(words) >= {n})"""
+
+    parts = " UNION ALL ".join(wins(f"(SELECT * FROM d WHERE {n} IN (SELECT least({size}, len(words)) FROM b))", "doc_id", str(n)) for n in range(1, size + 1))
+    cover = f"""SELECT doc_id, item_id, count(DISTINCT spot + k) AS n_covered FROM %s JOIN b USING (item_id), range({size}) r(k)
+                WHERE k < least({size}, len(words)) GROUP BY ALL"""
     return f"""
     WITH d AS MATERIALIZED ({tokens(docs, "doc_id")}), b AS MATERIALIZED ({tokens(f"(SELECT DISTINCT item_id, text FROM {benchmark})", "item_id")}),
     hits AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, bw.place AS spot, dw.place - bw.place AS shift
-             FROM ({wins("d", "doc_id")}) dw JOIN ({wins("b", "item_id")}) bw USING (win)),
+             FROM ({parts}) dw JOIN ({wins("(SELECT * FROM b WHERE len(words) > 0)", "item_id", f"least({size}, len(words))")}) bw USING (win)),
     likely AS (SELECT doc_id, item_id FROM ({cover % "hits"}) JOIN b USING (item_id) WHERE n_covered * 100 >= {percent} * len(words)),
     near AS (SELECT hits.* FROM hits JOIN likely USING (doc_id, item_id)),
     under AS (SELECT DISTINCT doc_id, item_id, shift, spot + k AS spot FROM near, range({size}) r(k)),
@@ -157,7 +195,8 @@ def matches_sql(size: int = 5, percent: int = 80, docs: str = "documents", bench
                 JOIN ({shown("d", "doc_id")}) dw ON dw.doc_id = u.doc_id AND dw.place = u.spot + u.shift
                 WHERE dw.word[2] = bw.word[2] AND dw.word[2] IN ('0', '0n', '0u')),
     broken AS (SELECT DISTINCT doc_id, item_id, shift FROM (
-                 SELECT doc_id, item_id, shift, kind, item_word FROM aligned GROUP BY ALL HAVING count(DISTINCT doc_word) > 1)),
+                 SELECT doc_id, item_id, shift, kind, item_word AS word FROM aligned GROUP BY ALL HAVING count(DISTINCT doc_word) > 1
+                 UNION ALL SELECT doc_id, item_id, shift, kind, doc_word FROM aligned GROUP BY ALL HAVING count(DISTINCT item_word) > 1)),
     sound AS (SELECT * FROM near ANTI JOIN broken USING (doc_id, item_id, shift)),
     told AS (SELECT doc_id, item_id, count(DISTINCT spot) AS n_slots, count(DISTINCT spot) FILTER (WHERE doc_word <> item_word) AS n_changed
              FROM aligned ANTI JOIN broken USING (doc_id, item_id, shift) GROUP BY ALL)

@@ -253,6 +253,46 @@ def test_slots_must_agree(spark, odd):
     assert table(decontaminate.matches(odd.limit(0), items.limit(0))) == []
 
 
+def found(spark, texts, items):
+    """(doc_id, item_id) by the operator, which must equal those by SQL."""
+    d = frame(spark, [(i, t, "s") for i, t in texts.items()])
+    b = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = decontaminate.matches(d, b)
+    con = duckdb.connect()
+    con.register("documents", d.toPandas())
+    con.register("benchmark", b.toPandas())
+    rows = sorted(table(got))
+    assert rows == sorted(con.sql(decontaminate.matches_sql()).project(", ".join(got.columns)).fetchall())
+    return {r[:2] for r in rows}
+
+
+def test_slots_must_agree_both_ways(spark):
+    items = {1: "tell us how Anna has 5 red apples while Otto has 7 of them", 2: "tell us how Maria has 9 red pears while Maria has 9 of them"}
+    texts = {
+        1: "so tell us how Maria has 9 red apples while Maria has 9 of them", 2: "so tell us how Maria has 9 red apples while Ida has 3 of them",
+        3: "so tell us how Anna has 5 red pears while Otto has 7 of them", 4: "so tell us how Otto has 4 red pears while Otto has 4 of them",
+    }
+    assert found(spark, texts, items) == {(2, 1), (4, 2), (1, 2), (3, 1)}  # the last two are copies but for one word
+
+
+def test_short_items_are_one_window(spark):
+    items = {1: "Blue moons rise", 2: "of 5", 3: "12 Otto", 4: "- !", 5: None, 6: "one two three four"}
+    texts = {1: "then blue moons rise again", 2: "a part of 77", 3: "number 12 Otto", 4: "number 13 Otto", 5: "one two three", 6: "one, two; three - four", 7: "- !", 8: ""}
+    assert found(spark, texts, items) == {(1, 1), (2, 2), (3, 3), (6, 6)}
+
+
+def test_placeholders_alone_are_no_template(spark):
+    rng = random.Random(9)
+    names = lambda n: " ".join(word(rng).capitalize() for _ in range(n))
+    items = {i: f"list {names(12)}" for i in range(300)}
+    texts = {i: f"list {names(60)}" for i in range(300)} | {300: f"a {items[7]} and", 301: items[8].replace("list", "x").lower()}
+    docs = frame(spark, [(i, t, "s") for i, t in texts.items()])
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    hits = decontaminate.windows(docs, "doc_id", [5], "place").join(decontaminate.windows(bench, "item_id", [5], "at"), "hash")
+    assert hits.count() < 200_000  # 300 x 300 for the window with `list`; 40 million if names alone were a template
+    assert found(spark, {i: texts[i] for i in (0, 1, 300, 301)}, {i: items[i] for i in (7, 8)}) == {(300, 7)}
+
+
 # --- pages
 
 
