@@ -47,30 +47,39 @@ ANY_PART = frozenset(
 )
 LAST_PART = frozenset("nav navbar navigation menu sidebar aside footer foot header banner toolbar notice notices alert modal overlay login social".split())
 ALONE = frozenset("form legal side more meta tags skip search hidden".split())
-NEGATING = frozenset("no not non without has with hide is".split())
+NEGATING = frozenset("no not non without has with hide is open closed enabled disabled".split())
+SURE = frozenset("comment comments disqus reply replies respond".split())  # those of ANY_PART that mean the same in any name
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)|=)*+)>", re.DOTALL
+)  # a quote opens a value only right after =
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 RAW = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
 GAPS = re.compile(r"\s+")
 
 
-def noise_name(names: str) -> bool:
-    """Whether class or id names mark what is no article."""
+def noise_name(names: str) -> int:
+    """Whether class or id names mark what is no article: 2 if they do, 1 if only a part before the last does (share-price), 0 if not."""
+    sure = 0
     for name in names.lower().split():
         parts = re.split("[_-]+", name)
-        if name in ALONE or not NEGATING & set(parts) and (ANY_PART & set(parts) or parts[-1] in LAST_PART):
-            return True
-    return False
+        if name in ALONE or not NEGATING & set(parts) and (SURE & set(parts) or parts[-1] in ANY_PART | LAST_PART):
+            return 2
+        if not NEGATING & set(parts) and ANY_PART & set(parts):
+            sure = 1
+    return sure
 
 
 def released(lines: Sequence[tuple[str, bool, bool, tuple[int, ...]]]) -> list[tuple[str, bool, bool]]:
-    """Lines with (noise, marked), where names alone drop neither the article nor nearly all of the page."""
+    """Lines with (noise, marked), where names alone drop neither the article nor nearly all of the page or of the article.
+
+    Named elements have numbers, negative ones where the name is not sure.
+    """
     size: dict[int, int] = {}
+    marked_size: dict[int, int] = {}
     holds_mark = set()
-    total = 0
+    total = in_mark = 0
     for text, hard, marked, named in lines:
         if not hard:
             total += len(text)
@@ -78,8 +87,12 @@ def released(lines: Sequence[tuple[str, bool, bool, tuple[int, ...]]]) -> list[t
                 size[k] = size.get(k, 0) + len(text)
             if marked:
                 holds_mark.update(named)
+                in_mark += len(text)
+                for k in named:
+                    marked_size[k] = marked_size.get(k, 0) + len(text)
     if any(marked and not hard and not named for _, hard, marked, named in lines):
-        free = set()  # the article stands outside: a large block of comments is still no part of it
+        # the article stands outside: a large block of comments is still no part of it, but one of an unsure name may be the article
+        free = {k for k, n in marked_size.items() if k < 0 and n > MOST_SHARED * in_mark}
     else:
         free = {k for k, n in size.items() if n > (0.5 if k in holds_mark else MOST_SHARED) * total}
     if all(hard or set(named) - free for _, hard, _, named in lines):
@@ -158,9 +171,9 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         names = f"{values.get('class', '')} {values.get('id', '')}"
         if tag in DROPPED or tag in ASIDE and not inner or role in ROLES or "hidden" in values or values.get("aria-hidden") == "true":
             noise = True
-        elif tag not in ("html", "body", "article", "main") and names != " " and noise_name(names):
+        elif tag not in ("html", "body", "article", "main") and names != " " and (sure := noise_name(names)):
             n_named += 1
-            named += (n_named,)
+            named += (n_named if sure > 1 else -n_named,)
     close_line()
     return released(out)
 

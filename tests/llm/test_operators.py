@@ -333,6 +333,26 @@ def test_marked_pages_are_differenced(spark):
     assert got[3] == ["Teaser 3 of it", "The long story 3 goes on here"]
 
 
+def test_quotes_open_values_only_behind_an_equals_sign():
+    text = lambda html: [t for t, noise, _ in pages.page_lines(html) if not noise]
+    assert text("<article><p data-a=it's>First paragraph.</p><p>Second one.</p><p>It's third.</p></article>") == ["First paragraph.", "Second one.", "It's third."]
+    assert text("<article><p title=\"5\" tall\">First</p><p title='a > b' class = \"x > y\">Second</p></article>") == ["First", "Second"]
+    assert text("<p a==\"b>one</p><p a='>two</p><p =>three</p><p a=>four</p>") == ["one", "two", "three", "four"]
+    assert text("<p a=/b/>one</p><img alt=\"x>y\"/>two<br/>three") == ["one", "two", "three"]
+    open_tag = "<p " + "a=\"b\" " * 50_000
+    assert text(f"<p>one</p>{open_tag}") and text("<i a='" * 2_000) is not None  # no closing sign: still quick
+    assert text("<div>" * 30_000 + "deep" + "</div>" * 30_000) == ["deep"]
+
+
+def test_unsure_names_keep_the_article():
+    text = lambda html: [t for t, noise, _ in pages.page_lines(html) if not noise]
+    body = "A long body of the article, which goes on and on."
+    for names in ("entry comments-open", "share-price-report", "cookie-recipes"):
+        assert text(f"<article><h1>Head</h1><div class='{names}'><p>{body}</p></div></article><nav>menu</nav>") == ["Head", body]
+    for names in ("comments", "comment-list", "share", "post-comments", "related"):
+        assert text(f"<article><h1>Head</h1><p>Short</p><div class='{names}'><p>{body}</p></div></article>") == ["Head", "Short"]
+
+
 def test_names_of_wrappers():
     text = lambda html: [t for t, noise, _ in pages.page_lines(html) if not noise]
     for names in ("class='content no-sidebar'", "id='page' class='header-fixed'", "class='long-form'", "class='legal-analysis'", "class='widget'", "class='sidebar'"):
