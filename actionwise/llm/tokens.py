@@ -49,6 +49,17 @@ def id_type(vocabulary: int) -> str:
 
 # fixed values: how the tokenizer file cuts words, and the same for PLAIN texts in lower case
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+CUTTING = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+")
 PLAIN = re.compile(r"[\t\n\r -~À-ÿ]*")
 
@@ -69,9 +80,7 @@ class WordIds(dict):
         size = self.tokenizer.get_vocab_size()
         self.kind, self.code = id_type(size), "H" if id_type(size) == "<u2" else "I"
         rules = json.loads(self.tokenizer.to_str())
-        kinds = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
-        cuts = [x.get("pattern") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        self.by_pieces = kinds == ["NFC", "Replace", "Lowercase"] and cuts == [{"Regex": PATTERN}, None]
+        self.by_pieces = (rules["normalizer"], rules["pre_tokenizer"], rules.get("post_processor")) == (NORMALIZER, CUTTING, None)
         self.special = [t["content"] for t in rules["added_tokens"]]
         self.older: dict[str, bytes] = {}
         self.pieces = PieceIds(self.tokenizer.model, self.code) if self.by_pieces else None
