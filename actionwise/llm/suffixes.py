@@ -28,13 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import stage
-from .common import chunked, likely_in, prefix_hash, sieved, span_hash
+from .common import chunked, likely_in, prefix_hash, recurring, sieved, span_hash
 
 SPAN = 100
 GRAM = 32
 PLACES = SPAN - GRAM + 1   # places of an anchor in a window
 RUN = 100_000              # suffixes sorted at once
-RUN_BYTES = 1 << 25        # text whose anchors are counted at once
 NONE = -(1 << 63)          # stands for a NULL doc_id
 
 
@@ -67,63 +66,6 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return of[first], place[first], first, last, hashes[place[first]], begin
 
 
-def _counted(docs: DataFrame, buckets: int) -> DataFrame:
-    """(d, h, ordinals): the anchors of a document, by their number in it, whose hash occurs again."""
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys: list[np.ndarray] = []
-        found: list[tuple] = []
-        size = rows = 0
-
-        def packed() -> pd.DataFrame:
-            every = np.concatenate(keys)
-            doc, number, value = (np.concatenate([f[k] for f in found]) for k in range(3))
-            to = (value % np.uint64(buckets)).astype(np.int64)
-            out = []
-            for b in np.unique(to):
-                mine = np.flatnonzero(to == b)
-                used, at = np.unique(doc[mine], return_inverse=True)
-                out.append((int(b), every[used].tobytes(), at.astype("<u4").tobytes(), number[mine].astype("<u4").tobytes(), value[mine].tobytes()))
-            return pd.DataFrame(out, columns=["bucket", "docs", "doc", "number", "hash"])
-
-        for batch in batches:
-            ids = batch[["d", "h"]].to_numpy(np.int64)
-            for start, part in chunked(batch["text"]):
-                of, _, _, _, value, _ = anchors(part)
-                keys.append(ids[start : start + len(part)])
-                number = np.arange(len(of)) - np.searchsorted(of, of)
-                found.append((of + rows, number, value))
-                rows += len(part)
-                size += sum(map(len, part))
-                if size >= RUN_BYTES:
-                    yield packed()
-                    keys, found, size, rows = [], [], 0, 0
-        if found:
-            yield packed()
-
-    def again(part: pd.DataFrame) -> pd.DataFrame:
-        ids, doc, number, value, rows = [], [], [], [], 0
-        for r in part.itertuples():
-            ids.append(np.frombuffer(r.docs, np.int64).reshape(-1, 2))
-            doc.append(np.frombuffer(r.doc, "<u4").astype(np.int64) + rows)
-            number.append(np.frombuffer(r.number, "<u4"))
-            value.append(np.frombuffer(r.hash, np.uint64))
-            rows += len(ids[-1])
-        ids, doc, number, value = map(np.concatenate, (ids, doc, number, value))
-        order = np.argsort(value, kind="stable")
-        v = value[order]
-        same = np.zeros(len(v) + 1, bool)
-        same[1:-1] = v[1:] == v[:-1]
-        kept = np.sort(order[same[1:] | same[:-1]])
-        kept = kept[np.argsort(doc[kept], kind="stable")]
-        used, begin = np.unique(doc[kept], return_index=True)
-        parts = np.split(number[kept], begin[1:]) if len(kept) else []
-        return pd.DataFrame({"d": ids[used, 0], "h": ids[used, 1], "ordinals": [p.tobytes() for p in parts]})
-
-    rows = docs.mapInPandas(send, "bucket int, docs binary, doc binary, number binary, hash binary")
-    return rows.groupBy("bucket").applyInPandas(again, "d bigint, h bigint, ordinals binary")
-
-
 def front_coded(rights: Sequence[bytes]) -> tuple[np.ndarray, bytes]:
     """(length shared with the one before, all the rests) of sorted strings."""
     size = max(map(len, rights), default=0)
@@ -272,7 +214,7 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
                 bucket = (value % np.uint64(buckets)).astype(np.int64)
                 head = np.searchsorted(of, np.arange(len(part)))
                 for i in range(len(part)):
-                    numbers = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in wanted.iat[start + i]]))
+                    numbers = np.unique(np.frombuffer(wanted.iat[start + i], "<u4"))
                     d, h = ids[start + i].tolist()
                     for a in (head[i] + numbers).tolist():
                         p, lo, hi = int(place[a]), int(first[a]), int(last[a])
@@ -327,8 +269,7 @@ def joined_spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(d, h, firsts, ends) of documents (d, h, text) that lose bytes: the spans, in any order."""
     buckets = max(docs.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    again = _counted(docs, buckets).groupBy("d", "h").agg(F.collect_list("ordinals").alias("ordinals"))
-    again = stage(again, "suffix_anchors")
+    again = stage(recurring(docs, buckets, lambda texts: anchors(texts)[0:5:4]), "suffix_anchors")
     sources = likely_in(docs, again, "d").join(again, ["d", "h"])
     spans = _runs(sources.dropDuplicates(["d", "h"]), buckets).groupBy("bucket").applyInPandas(_decide, "d bigint, h bigint, first bigint, end bigint")
     spans = spans.groupBy("d", "h").agg(F.collect_list("first").alias("firsts"), F.collect_list("end").alias("ends"))

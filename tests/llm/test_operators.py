@@ -406,6 +406,19 @@ def plain_cut(rows):
     return out
 
 
+def test_recurring_keys_are_one_row_per_document(spark):
+    """However many buckets a document's keys meet in; before, each of them made a row of its own."""
+    rng = random.Random(17)
+    texts = [" ".join(str(rng.randrange(400)) for _ in range(50)) for _ in range(30)]
+    keys = lambda raw: (np.repeat(np.arange(len(raw)), [len(t.split()) for t in raw]), np.array([int(x) for t in raw for x in t.split()], np.uint64))
+    frame = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)] + [(99, 0, "1000"), (100, 0, "")], "d bigint, h bigint, text string")
+    counts = {}
+    for x in " ".join(texts).split():
+        counts[x] = counts.get(x, 0) + 1
+    got = [(r.d, sorted(np.frombuffer(r.ordinals, "<u4").tolist())) for r in common.recurring(frame.repartition(3), 16, keys).collect()]
+    assert sorted(got) == [(i, [k for k, x in enumerate(t.split()) if counts[x] > 1]) for i, t in enumerate(texts)]
+
+
 @needs_data
 def test_suffix_cut(spark, docs):
     rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
