@@ -569,6 +569,46 @@ def test_passages_of_halves_from_different_documents(spark):
     assert got == [(9, 20, 80, 5, 20, 80, 60)]
 
 
+def test_passages_whose_seeds_stand_in_other_documents_too(spark):
+    """Documents 2 and 6 share a passage, but every seed of it stands first in document 1 and last in document 5, in pieces."""
+    rng = random.Random(14)
+    base = passage(rng, 60).split()
+    pieces = lambda: " ".join(f"{' '.join(base[k : k + 4])} {passage(rng, 4)}" for k in range(57))
+    texts = {1: pieces(), 2: f"{passage(rng, 20)} {' '.join(base)} {passage(rng, 20)}", 5: pieces(), 6: f"{passage(rng, 30)} {' '.join(base)} {passage(rng, 30)}"}
+    got = table(chains.repeated_passages(frame(spark, [(i, t, "s") for i, t in texts.items()])))
+    assert [r for r in got if r[0] == 6] == [(6, 30, 90, 2, 20, 80, 60)]
+
+
+def test_all_pairs_of_different_texts(spark, monkeypatch):
+    """Near copies are linked all with all, also where places of a seed fill several tiles; copies are rows of the first one."""
+    rng = random.Random(15)
+    base = passage(rng, 70).split()
+    texts = {i: " ".join(w if k != 4 * i else f"new{i}" for k, w in enumerate(base)) for i in range(1, 13)}
+    rows = [(i, t, "s") for i, t in texts.items()] + [(20, texts[3], "s"), (21, texts[3], "s"), (21, texts[3], "s"), (22, "a b c", "s"), (23, "a b c", "s")]
+    want = {(a, b) for a in texts for b in texts if a > b} | {(20, 3), (21, 3)}
+    for tile in (chains.TILE, 3):
+        monkeypatch.setattr(chains, "TILE", tile)
+        got = table(chains.repeated_passages(frame(spark, rows)))
+        whole = [r for r in got if (*r[1:3], *r[4:6]) == (0, 70, 0, 70)]
+        assert {(r[0], r[3]) for r in got} == want and sorted((r[0], r[3]) for r in whole) == sorted(want)
+        assert all(r[6] == (70 if r[0] > 12 else 68) for r in whole)
+
+
+def test_words_around_a_seed_rule_out_no_passage():
+    rng = random.Random(16)
+    for _ in range(200):
+        base = passage(rng, 40).split()
+        gone = rng.sample(range(40), 8)
+        copy = [f"new{rng.random()}" if i in gone else w for i, w in enumerate(base)]
+        texts = [f"{passage(rng, a)} {' '.join(t)} {passage(rng, b)}".strip().encode() for t, a, b in ((base, rng.randint(0, 50), rng.randint(0, 50)), (copy, rng.randint(0, 50), 5))]
+        side = chains.around(40, 80)[1]
+        of, pos, seed, *_, near = chains.places_of(texts, np.arange(2).astype(np.uint64), [np.arange(len(t.split()) - 3) for t in texts], side)
+        x, y = np.nonzero((seed[:, None] == seed) & (of[:, None] == 1) & (of == 0))
+        inside = (pos[y] - pos[y].min() < 37) & (pos[x] - pos[x].min() < 37)
+        assert inside.any() and chains.possible(x[inside], y[inside], near, 40, 80).any()
+        assert chains.possible(x, y, near, 40, 80).sum() >= 1
+
+
 def test_chains_against_all_predecessors():
     rng = random.Random(11)
     for _ in range(30):
