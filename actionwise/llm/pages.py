@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
@@ -211,9 +212,20 @@ def line_keys(lines: Sequence[tuple[str, bool, bool]]) -> list[int]:
     return [int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for text, _, _ in lines]
 
 
-def own_lines(lines: Sequence[tuple[str, bool, bool]], others: Sequence[Sequence[int] | None]) -> list[int]:
-    """Places of the lines that are no noise and belong to the page rather than the site."""
-    mine, others = line_keys(lines), [other for other in others if other is not None and len(other)]
+def packed_lines(lines: Sequence[tuple[str, bool, bool]]) -> bytes:
+    """Lines in few bytes, without the texts of those that are noise: a line holds no line feed."""
+    marks = "".join(str(noise + 2 * marked) for _, noise, marked in lines)
+    return zlib.compress("\n".join([marks, *("" if noise else text for text, noise, _ in lines)]).encode("utf-8", "surrogatepass"))
+
+
+def unpacked_lines(packed: bytes) -> list[tuple[str, bool, bool]]:
+    marks, *texts = zlib.decompress(packed).decode("utf-8", "surrogatepass").split("\n")
+    return [(text, mark in "13", mark in "23") for mark, text in zip(marks, texts)]
+
+
+def own_lines(lines: Sequence[tuple[str, bool, bool]], others: Sequence[Sequence[int] | None], mine: Sequence[int] | None = None) -> list[int]:
+    """Places of the lines that are no noise and belong to the page rather than the site. `mine` are the lines' keys, where they are known."""
+    mine, others = line_keys(lines) if mine is None else list(mine), [other for other in others if other is not None and len(other)]
     inside = {k for k, (_, noise, marked) in enumerate(lines) if marked and not noise}
     outside = {k for k, (_, noise, marked) in enumerate(lines) if not marked and not noise}
     size = lambda some: sum(len(lines[k][0]) for k in some)
@@ -256,7 +268,10 @@ def with_neighbours(pages: DataFrame) -> DataFrame:
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every page. The same page in several rows is differenced once."""
+    """(page_id, url, text, n_chars) of every page. The same page in several rows is differenced once.
+
+    Markup is read where it is scanned; a page goes to its neighbours' lines as packed lines and their keys.
+    """
     base = has_columns(pages, ["page_id", "url", "html"]).withColumn("key", F.xxhash64("page_id", "url", "html"))
 
     def outer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,14 +285,21 @@ def main_texts(pages: DataFrame) -> DataFrame:
     side = lambda n: sites.select(F.col("key").alias(n), F.col("lines").alias(f"{n}_lines"))
     linked = stage(linked.join(side("before"), "before", "left").join(side("behind"), "behind", "left").select("key", "before_lines", "behind_lines"), "page_pairs")
 
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lines = [page_lines(h or "") for h in batch["html"]]
+            columns = {"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "key": batch["key"]}
+            yield pd.DataFrame(columns | {"lines": [line_keys(page) for page in lines], "body": [packed_lines(page) for page in lines]})
+
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for page, *others in zip(batch["html"], batch["before_lines"], batch["behind_lines"]):
-                lines = page_lines(page or "")
-                texts.append(article(lines, own_lines(lines, others)))
+            for body, mine, *others in zip(batch["body"], batch["lines"], batch["before_lines"], batch["behind_lines"]):
+                lines = unpacked_lines(body)
+                texts.append(article(lines, own_lines(lines, others, mine)))
             n = np.array([len(t) for t in texts], np.int64)
             yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": n})
 
-    columns = base.join(linked, "key").select("page_id", "url", "html", "before_lines", "behind_lines")
+    packed = base.mapInPandas(pack, "page_id bigint, url string, key bigint, lines array<bigint>, body binary")
+    columns = packed.join(linked, "key").select("page_id", "url", "lines", "body", "before_lines", "behind_lines")
     return columns.mapInPandas(extract, "page_id bigint, url string, text string, n_chars bigint")

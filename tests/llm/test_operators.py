@@ -57,6 +57,12 @@ def table(df):
     return [tuple(r) for r in df.collect()]
 
 
+def nodes(plan):
+    """A plan of the JVM and all below it."""
+    children = plan.children()
+    return [plan, *(node for k in range(children.size()) for node in nodes(children.apply(k)))]
+
+
 # --- n-gram Jaccard join
 
 
@@ -325,6 +331,19 @@ def test_pages(spark):
     assert table(pages.main_texts(df.limit(0))) == []
 
 
+def test_markup_is_not_joined(spark):
+    """Pages go to their neighbours as packed lines, not as markup."""
+    lines = [("One & two.", False, True), ("ü menu", True, False), ("send", True, True), ("12", False, False)]
+    packed = pages.packed_lines(lines)
+    assert pages.unpacked_lines(packed) == [(t if not noise else "", noise, marked) for t, noise, marked in lines]
+    assert pages.unpacked_lines(pages.packed_lines([])) == []
+    df = spark.createDataFrame([(1, "http://h.example/a", "<p>x</p>"), (1, "http://h.example/a", "<p>x</p>"), (None, None, None)], "page_id bigint, url string, html string")
+    got = pages.main_texts(df)
+    joins = [node for node in nodes(got._jdf.queryExecution().optimizedPlan()) if node.nodeName() == "Join"]
+    assert joins and not any("html" in node.output().mkString(" ") for node in joins)
+    assert sorted(table(got), key=str) == [(1, "http://h.example/a", "x", 1)] * 2 + [(None, None, "", 0)]
+
+
 def test_marked_pages_are_differenced(spark):
     page = lambda i: f"<p>Site of news</p><article><p>Teaser {i} of it</p><p>Tell your friends</p>{'<p>A quote of two</p>' if i < 3 else ''}</article><p>The long story {i} goes on here</p>"
     df = spark.createDataFrame([(i, f"http://h.example/a/{100 + i}", page(i)) for i in range(1, 5)], "page_id bigint, url string, html string")
