@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import stage
 from .common import hex_hash, numbered
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,9 +56,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], percent: int, most:
     return per.select("source", "source_size", target.alias("target"))
 
 
-def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int = 150, most: int = 2, seed: int = 11) -> DataFrame:
+def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents with size, source_size, target and copies (how often the mix holds the document, 0 or more)."""
-    sized = docs.withColumn("size", words_in("text"))
+    return drawn(docs.withColumn("size", words_in("text")), **options)
+
+
+def drawn(sized: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int = 150, most: int = 2, seed: int = 11) -> DataFrame:
+    """Rows (doc_id, source, size) with source_size, target and copies."""
     targets = source_targets(sized.select("source", "size"), weights, percent, most)
     long = F.length(F.bin("size"))
     shown = sized.withColumns({
@@ -74,8 +79,8 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, percent: int = 150,
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, size, source_size, target, taken), one row per document."""
-    found = mixed(docs.select("doc_id", "text", "source"), **options)
+    """(doc_id, size, source_size, target, taken), one row per document. Texts are read once: sizes are staged."""
+    found = drawn(stage(docs.select("doc_id", "source", words_in("text").alias("size")), "mix_sizes"), **options)
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -144,6 +144,11 @@ def test_mix_matches_sql(spark, docs):
     assert sorted(table(got)) == sorted(want)
 
 
+def test_mix_reads_texts_once(spark, odd):
+    plan = mixing.mix_report(odd)._jdf.queryExecution().optimizedPlan()
+    assert not any("text" in node.output().mkString(" ") for node in nodes(plan))
+
+
 def test_mix_targets_and_edges(spark, odd):
     rows = [(i, passage(random.Random(i), 1 + i % 50), ("big", "small", None)[min(i % 10, 2)]) for i in range(400)]
     got = mixing.mix_report(frame(spark, rows)).collect()
