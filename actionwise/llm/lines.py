@@ -45,10 +45,12 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 
 def half_keys(lines: DataFrame) -> DataFrame:
     """Rows of lines with `half`: hashes of the halves, as cut for partners of the same length and of one character less or more."""
-    cuts = F.expr(
-        """flatten(transform(array(n - 1, n), m -> array(
-             xxhash64(0, m, left(line, cast(m div 2 as int))), xxhash64(1, m, right(line, cast(m - m div 2 as int))))))"""
-    )
+    # written out: a lambda is not compiled
+    cuts = F.array(*(
+        F.expr(f"xxhash64({side}, {m}, {part}(line, cast({length} as int)))")
+        for m in ("n - 1", "n")
+        for side, part, length in ((0, "left", f"({m}) div 2"), (1, "right", f"({m}) - ({m}) div 2"))
+    ))
     return lines.withColumn("half", F.explode(F.array_distinct(cuts)))
 
 
@@ -69,12 +71,10 @@ def neighbourhood(lines: DataFrame) -> DataFrame:
     each = base.select("k1", "k2", "first", "x", "n", F.explode("around").alias("a")).select("k1", "k2", "first", "n", "x", "a.*")
     rest = F.expr("x ^ xxhash64(p, w) ^ xxhash64(w, q)").alias("rest")
     each = each.select("k1", "k2", "first", "n", "p", "w", "q", "r", "i", rest)
-    inner = F.expr(
-        """transform(sequence(0, length(w) - 1), k -> named_struct('offset', k, 'v', concat(left(w, k), substring(w, k + 2))))"""
-    )
-    letters = each.filter("w <> ''").select("k1", "k2", "first", "n", "p", "q", "i", "rest", F.explode(inner).alias("d")).select(
-        "k1", "k2", "first", F.expr("rest ^ xxhash64(p, d.v) ^ xxhash64(d.v, q)").alias("x"), (F.col("n") - 1).alias("length"),
-        F.col("i").alias("word"), F.col("d.offset").alias("offset"),
+    letters = each.filter("w <> ''").select("k1", "k2", "first", "n", "p", "w", "q", "i", "rest", F.explode(F.expr("sequence(0, length(w) - 1)")).alias("k"))
+    letters = letters.withColumn("v", F.expr("concat(left(w, k), substring(w, k + 2))")).select(
+        "k1", "k2", "first", F.expr("rest ^ xxhash64(p, v) ^ xxhash64(v, q)").alias("x"), (F.col("n") - 1).alias("length"),
+        F.col("i").alias("word"), F.col("k").alias("offset"),
     )
     gaps = each.filter("r IS NOT NULL").select(
         "k1", "k2", "first", F.expr("rest ^ xxhash64(q, r) ^ xxhash64(p, concat(w, q)) ^ xxhash64(concat(w, q), r)").alias("x"),
@@ -114,13 +114,17 @@ def exact_variants(lines: DataFrame, meetings: DataFrame) -> DataFrame:
     return text.withColumn("begin", begin).withColumn("y", F.xxhash64(left)).drop("line", "begin")
 
 
+def sharing_lines(lines: DataFrame) -> DataFrame:
+    """(k1, k2) of the lines that share a half with another line. Halves are made and exchanged once; a half tells the line's length too."""
+    halves = half_keys(lines).select("k1", "k2", "half")
+    met = halves.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("half")))
+    return met.filter("m > 1").select("k1", "k2").distinct()
+
+
 def near_repeats(lines: DataFrame, least: int = LEAST) -> DataFrame:
     """(k1, k2) of different lines (k1, k2, first, line) that have an earlier line one edit away."""
     long = lines.withColumn("n", F.length("line")).filter(F.col("n") >= least)
-    halves = half_keys(long).select("k1", "k2", "half")
-    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    sharing = halves.join(shared, "half", "left_semi").select("k1", "k2").distinct()
-    likely = stage(long.join(sharing, ["k1", "k2"], "left_semi"), "likely_lines")
+    likely = stage(long.join(sharing_lines(long), ["k1", "k2"], "left_semi"), "likely_lines")
     pairs = stage(verified(pairs_met(neighbourhood(likely), ["x", "length"]), likely), "line_pairs")
     meetings = stage(pairs.filter("NOT near").select("x", "length").distinct(), "line_meetings")
     near = pairs.filter("near").select("k1", "k2")

@@ -537,6 +537,16 @@ def test_lines_of_shared_ids_and_hidden_neighbours(spark, rows):
     assert sorted(table(got), key=repr) == sorted(plain_lines(rows), key=repr)
 
 
+def test_halves_are_made_once(spark):
+    """Lines that share a half with another line, from one exchange of halves."""
+    texts = ["a line of some length here", "a line of some length gone", "nothing like any other one", "b line of some length gone"]
+    rows = spark.createDataFrame([(k, -k, t) for k, t in enumerate(texts)], "k1 bigint, k2 bigint, line string").withColumn("n", F.length("line"))
+    found = lines.sharing_lines(rows)
+    assert sorted(table(found)) == [(0, 0), (1, -1), (3, -3)]
+    assert "lambda" not in lines.half_keys(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(node.nodeName() == "Generate" for node in nodes(found._jdf.queryExecution().optimizedPlan())) == 1
+
+
 def test_lines_of_few_words_in_any_order(spark):
     rng = random.Random(4)
     pool = [" ".join(rng.sample(["ab", "ac", "ab", "ad", "ac", "ae", "b", "ab"], 8)) for _ in range(25)]
