@@ -33,7 +33,7 @@ from .common import chunked, likely_in, prefix_hash, recurring, sieved, span_has
 SPAN = 100
 GRAM = 32
 PLACES = SPAN - GRAM + 1   # places of an anchor in a window
-RUN = 100_000              # suffixes sorted at once
+RUN = 50_000               # suffixes sorted at once
 NONE = -(1 << 63)          # stands for a NULL doc_id
 
 

@@ -132,6 +132,21 @@ def test_bitmaps_bound_the_difference():
         assert jaccard.differing(jaccard.bitmap(a), jaccard.bitmap(b)) <= len(np.setxor1d(a, b))
 
 
+def test_python_tasks_hold_few_arrays():
+    """A large batch is taken in small parts, which bounds the arrays of a worker; a text is never cut."""
+    import tracemalloc
+
+    texts = [passage(random.Random(i), 4000) for i in range(150)] + ["x" * 300_000]
+    parts = list(common.chunked(texts))
+    assert [t.decode() for _, part in parts for t in part] == texts and all(sum(map(len, p)) <= 1 << 18 or len(p) == 1 for _, p in parts)
+    tracemalloc.start()
+    for _, part in parts:
+        suffixes.anchors(part)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 << 20
+
+
 # --- mixing
 
 
