@@ -33,7 +33,7 @@ from .common import chunked, components, given_back, has_columns, likely_in, mix
 SKETCH = 1 << 17   # counters of the shingle sketch
 HEAVY = 4          # deviations above the mean count from which a counter makes its shingles common
 TILE = 512         # sets in a side of a tile
-LEAST_BITS, MOST_BITS = 1024, 1 << 15
+LEAST_BITS, MOST_BITS = 512, 1 << 15
 
 
 def _runs(texts: pd.Series, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -52,7 +52,7 @@ def _sets(texts: pd.Series, size: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def bitmap(values: np.ndarray) -> bytes:
     """Parity bits of a set; the width is a power of two from the size of the set."""
-    width = min(max(LEAST_BITS, 1 << int(2 * max(len(values), 1) - 1).bit_length()), MOST_BITS)
+    width = min(max(LEAST_BITS, 1 << int(max(len(values), 1) - 1).bit_length()), MOST_BITS)
     bits = np.bincount((mix(values) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
@@ -171,11 +171,11 @@ def _tiles(rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> Dat
     same = rows.groupBy("token").agg(F.sum(F.xxhash64("set_key") % (1 << 40)).alias("x"), F.expr("bit_xor(set_key)").alias("y"), F.count(F.lit(1)).alias("m"))
     once = same.groupBy("x", "y", "m").agg(F.min("token").alias("token"))
     placed = rows.join(once.select("token", "m"), "token")
-    placed = placed.join(reps.select("set_key", "bits"), "set_key")
     placed = placed.withColumn("block", F.expr(f"(row_number() OVER (PARTITION BY token ORDER BY n, set_key) - 1) div {TILE}"))
     other = F.explode(F.expr(f"sequence(0, (m - 1) div {TILE})")).alias("other")
-    tiles = placed.select("token", "set_key", "n", "component", "bits", "block", other)
+    tiles = placed.select("token", "set_key", "n", "component", "block", other)
     tiles = tiles.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    tiles = tiles.join(reps.select("set_key", "bits"), "set_key")  # last: bitmaps are the most of a row, and go to their tiles alone
 
     def cross(one_block: bool, n: np.ndarray, key: np.ndarray, comp: np.ndarray, block: np.ndarray, raw: np.ndarray) -> np.ndarray:
         length = np.fromiter(map(len, raw), np.int64, len(raw))

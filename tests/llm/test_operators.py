@@ -132,6 +132,16 @@ def test_bitmaps_bound_the_difference():
         assert jaccard.differing(jaccard.bitmap(a), jaccard.bitmap(b)) <= len(np.setxor1d(a, b))
 
 
+def test_tiles_get_their_bitmaps_last(spark):
+    """Blocks are numbered without bitmaps, which have about as many bits as the set has shingles."""
+    assert len(jaccard.bitmap(np.arange(1000, dtype=np.uint64))) == 128
+    rows = spark.createDataFrame([(1, 2, 3, 4)], "token bigint, set_key bigint, n bigint, component bigint")
+    reps = spark.createDataFrame([(2, 3, bytearray(64))], "set_key bigint, n bigint, bits binary")
+    plan = jaccard._tiles(rows, reps, 85, True)._jdf.queryExecution().optimizedPlan()
+    windows = [node for node in nodes(plan) if node.nodeName() == "Window"]
+    assert windows and not any("bits" in w.output().mkString(" ") for w in windows)
+
+
 def test_python_tasks_hold_few_arrays():
     """A large batch is taken in small parts, which bounds the arrays of a worker; a text is never cut."""
     import tracemalloc
