@@ -10,6 +10,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -668,6 +669,64 @@ def test_words_around_a_seed_rule_out_no_passage():
         assert chains.possible(x, y, near, 40, 80).sum() >= 1
 
 
+def test_meetings_of_tiles_against_all_pairs(monkeypatch):
+    """Tiles of one and two blocks, looked at pair by pair and as panels; what is found stays the same when it is packed."""
+    rng = np.random.default_rng(17)
+    side = chains.around(40, 80)[1]
+    rows, want, sizes = [], set(), []
+    for seed, (i, j) in enumerate([(0, 0), (0, 1), (2, 2), (1, 1), (0, 2), (1, 2)]):
+        n = 3 if seed == 3 else 60
+        block = np.repeat([i, j], [n // 2, n - n // 2]) if seed != 5 else np.full(n, 1)
+        near = np.where(rng.random((n, 2 * side)) < 0.8, np.arange(2 * side) % 90, rng.integers(0, 256, (n, 2 * side))).astype(np.uint8)
+        longer = rng.integers(0, 2, (n, chains.LONGER)).astype(np.uint64)
+        doc, pos, before, chosen = rng.integers(0, 25, n), rng.permutation(n), np.sort(rng.integers(0, 6, n)), rng.random(n) < 0.4
+        rows += [
+            {"seed": seed, "doc": doc[x], "pos": pos[x], "before": before[x], "chosen": chosen[x], "reach": 0, "near": longer[x].tobytes() + near[x].tobytes(), "block": block[x], "i": i, "j": j} for x in range(n)
+        ]
+        for x in range(n):
+            for y in range(x + 1, n):
+                if (i == j or block[x] != block[y]) and (before[x] != before[y] or (chosen[x] and chosen[y])):
+                    b, a = sorted((x, y), key=lambda k: (doc[k], pos[k]))
+                    if chains.possible(np.array([a]), np.array([b]), near, 40, 80)[0]:
+                        equal = np.logical_and.accumulate((longer[a] == longer[b]) & (longer[a] != 0)).sum()
+                        want.add((doc[a], doc[b], pos[a], pos[b], 4 * (1 + equal), seed))
+        sizes.append(n)
+    cuts = np.cumsum([0, *sizes[:-1]])
+    for dense, panel in ((512, (256, 1024)), (1, (7, 11))):
+        monkeypatch.setattr(chains, "DENSE", dense)
+        monkeypatch.setattr(chains, "PANEL", panel)
+        found = list(chains.fitting(pd.DataFrame(rows), cuts, 40, 80))
+        got = sorted(tuple(r) for f in found for r in np.column_stack(f).tolist())
+        assert got == sorted(tuple(int(v) for v in r[:5]) for r in want) and 100 < len(got) < 7000
+        packed = chains.packed_links(found, 5)
+        assert len({b for b, _ in packed}) == len(packed) <= 5
+        assert sorted(tuple(r) for _, raw in packed for r in chains.unpacked_links(raw).tolist()) == got
+
+
+def test_places_are_exchanged_once_and_shuffles_are_given_back(spark, monkeypatch):
+    """What the steps of seed_links leave on disk when they are staged: tables alone, and places of rare seeds went through one exchange each."""
+    rng = random.Random(18)
+    shared = passage(rng, 60)
+    rows = [(i, f"{passage(rng, 20)} {shared} {passage(rng, 20)}", "s") for i in range(12)]
+    plans = []
+    real = chains.stage
+
+    def spied(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+        return real(df, name)
+
+    monkeypatch.setattr(chains, "stage", spied)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    links = chains.seed_links(frame(spark, rows).select("doc_id", "text"), 40, 80)
+    assert spark.conf.get(key, None) == old
+    met = [p for name, p in plans if name == "meetings"]
+    assert len(met) == chains.ROUNDS and all(p.count("find") + p.count("<lambda>") == 1 and "Union" not in p for p in met)
+    pairs = {(d, o) for r in links.collect() for d, o, *_ in chains.unpacked_links(r["links"]).tolist()}
+    assert pairs == {(a, b) for a in range(12) for b in range(a)}
+
+
 def test_chains_against_all_predecessors():
     rng = random.Random(11)
     for _ in range(30):
