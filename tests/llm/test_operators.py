@@ -740,6 +740,92 @@ def test_chains_against_all_predecessors():
         assert abs(total - max(score)) < 1e-9
 
 
+def linked_texts(rng, n, alternatives=0):
+    """({(doc, text): words}, links of all equal seeds of two documents or places) of documents with stretches of one repeated word, near copies and odd words."""
+    base, texts = [f"w{rng.randrange(60)}" for _ in range(160)], {}
+    for doc in range(n):
+        out = []
+        while len(out) < rng.choice([30, 90, 200]):
+            kind, start = rng.random(), rng.randrange(100)
+            part = [rng.choice("xy")] * rng.randint(5, 70) if kind < 0.4 else base[start : start + rng.randint(8, 60)] if kind < 0.9 else [f"own{rng.random()}"]
+            out += [w if rng.random() < 0.93 or kind < 0.2 else f"w{rng.randrange(60)}" for w in part]
+        texts[doc, 0] = out
+        if doc < alternatives:
+            texts[doc, 1] = [w if rng.random() < 0.9 else "other" for w in out][: rng.randint(20, len(out))]
+    words = {k: common.words_of([" ".join(t).encode()])[0].astype("<u4") for k, t in texts.items()}
+    places = {}
+    for doc in range(n):
+        for p in range(len(texts[doc, 0]) - 3):
+            places.setdefault(tuple(texts[doc, 0][p : p + 4]), []).append((doc, p))
+    links = [(d, o, p, q, 4) for same in places.values() for d, p in same for o, q in same if (d, p) > (o, q) and rng.random() < 0.9]
+    return words, np.array(links)
+
+
+def packed_tile(words, links, parts, extend):
+    """links in several packed rows, and the words around them."""
+    packed = [raw for x in np.array_split(links[np.random.default_rng(1).permutation(len(links))], parts) for _, raw in chains.packed_links([tuple(x.T)], 1)]
+    place = np.concatenate((links[:, 2], links[:, 3]))
+    doc, begin, end = chains.merged([np.concatenate((links[:, 0], links[:, 1]))], np.maximum(place - extend, 0), place + 4 + extend)
+    regions = []
+    for (d, t), w in words.items():
+        mine = doc == d
+        cut = [w[b:e] for b, e in zip(begin[mine], end[mine])]
+        regions.append(chains.packed_regions(doc[mine], np.full(mine.sum(), t), begin[mine], np.array([len(c) for c in cut], np.int64), np.concatenate([w[:0], *cut])))
+    return packed, regions
+
+
+def test_all_chains_at_once_against_one_by_one(monkeypatch):
+    """Passages of a tile are those of each pair's chains, aligned one by one; of a document's texts the one with the greatest words counts."""
+    rng, total = random.Random(19), 0
+    for case, (least, percent) in enumerate([(40, 80), (40, 80), (12, 70), (50, 90), (8, 100)]):
+        monkeypatch.setattr(chains, "LINKS", 1 << 20 if case % 2 else 5000)
+        monkeypatch.setattr(chains.alignment, "SOME", 12 if case % 2 else 2)
+        monkeypatch.setattr(chains.alignment, "CELLS", 1 << 22 if case % 2 else 9000)
+        words, links = linked_texts(rng, 10, alternatives=2 if case else 0)
+        want = set()
+        for d, o in sorted({(d, o) for d, o, *_ in links.tolist()}):
+            mine, found = links[(links[:, 0] == d) & (links[:, 1] == o)], []
+            for rows in chains.passages(*mine[:, 2:].T):
+                sides = []
+                for s, doc in enumerate((d, o)):
+                    ways = [[words[doc, t][b:e] for b, e in chains.boxes(rows, s, least).tolist()] for t in (0, 1) if (doc, t) in words]
+                    sides.append(max(ways, key=lambda w: np.concatenate(([len(x) for x in w], *w)).astype("<u4").tobytes()))
+                found += chains.aligned(rows, *sides, least, percent)
+            want |= {(d, p, e, o, op, oe, m) for p, e, op, oe, m in chains.not_inside(found) if found}
+        got = chains.tile_passages(*packed_tile(words, links, 3, max(least, chains.MOST_GAP)), least, percent).tolist()
+        assert sorted(map(tuple, got)) == sorted(want) and want
+        total += len(want)
+    assert total > 200
+
+
+def test_shifts_of_repeated_words_are_aligned_together(spark, monkeypatch):
+    """Two stretches of one word have a chain for every shift: no step is taken for each, and they don't leave the task."""
+    rng = random.Random(20)
+    n, m = 700, 1500
+    texts = {k: [*passage(rng, 30).split(), *["same"] * size, *passage(rng, 30).split()] for k, size in ((1, m), (2, n))}
+    words = {(k, 0): common.words_of([" ".join(t).encode()])[0].astype("<u4") for k, t in texts.items()}
+    p, q = np.arange(30, 30 + n - 3), np.arange(30, 30 + m - 3)
+    links = np.array([(2, 1, x, y, 4) for x in p for y in q if x == p[0] or y == q[0] or (x - y) % 97 == 0])
+    links[:, 4] = np.minimum(30 + n - links[:, 2], 30 + m - links[:, 3])
+    steps = dict.fromkeys(("common_words", "aligned", "common_tables"), 0)
+    for name in steps:
+        real = getattr(chains.alignment, name)
+
+        def counted(*args, name=name, real=real):
+            steps[name] += 1
+            return real(*args)
+
+        monkeypatch.setattr(chains.alignment, name, counted)
+    got = chains.tile_passages(*packed_tile(words, links, 2, chains.MOST_GAP), 40, 80).tolist()
+    want = [[2, 30, 30 + n, 1, 30 + x, 30 + x + n, n] for x in range(m - n + 1)]
+    assert sorted(got) == want and sum(steps.values()) < 5
+    rows = [(k, " ".join(t), "s") for k, t in texts.items()]
+    whole = chains.repeated_passages(frame(spark, rows))
+    assert {tuple(r) for r in want} <= set(table(whole))
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "Aggregate" not in plan.split("FlatMapCoGroupsInPandas")[1].split("Union")[0]
+
+
 # --- pipeline
 
 
